@@ -3,14 +3,30 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gneiss.llm.leakage import leaked_windows
+from gneiss.llm.packing import pack_texts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that were cut, being larger than the pack."""
+    packed = pack_texts(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "packs"))
+    return packed.where("piece_no = 1").select("pack_id", "doc_id").distinct()
+
+
+def p6_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Containers, tokens and share of the space in use, by pack."""
+    packed = pack_texts(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "packs"))
+    total = packed.groupBy("pack_id", "bin_no").agg(F.sum("tokens").alias("t"), F.count("*").alias("n")).groupBy("pack_id").agg(F.count("*").alias("bins"), F.sum("t").alias("tokens"), F.max("t").alias("fullest"), F.sum("n").alias("pieces"))
+    sizes = _table(spark, sf_dir, "packs").select("pack_id", "capacity")
+    return total.join(F.broadcast(sizes), "pack_id").withColumn("used_share", F.col("tokens") / (F.col("bins") * F.col("capacity")))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items of which at least 12 words in a row stand in a document."""
     return leaked_windows(_table(spark, sf_dir, "eval_items"), _table(spark, sf_dir, "documents"), exact=True).select("item_id", "doc_id")
@@ -21,5 +37,7 @@ def p7_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaked_windows(_table(spark, sf_dir, "eval_items"), _table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p7_found": p7_found, "p7_similar": p7_similar}
-SQL: dict[str, str] = {}
+QUERIES = {"p6_found": p6_found, "p6_fill": p6_fill, "p7_found": p7_found, "p7_similar": p7_similar}
+SQL: dict[str, str] = {
+    "p6_found": r"select p.pack_id, d.doc_id from documents d, packs p where len(regexp_extract_all(d.text, '[\p{L}\p{N}]+|[^\p{L}\p{N}\p{Z}\p{C}]')) > p.capacity group by 1, 2",
+}
