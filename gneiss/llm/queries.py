@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gneiss.llm.leakage import leaked_windows
+from gneiss.llm.neardup import duplicate_groups, duplicate_pairs, near_duplicates
 from gneiss.llm.packing import pack_texts
 
 
@@ -13,6 +14,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of records whose sources share at least 0.7 of their elements."""
+    pairs = duplicate_pairs(*near_duplicates(_table(spark, sf_dir, "parts")))
+    return pairs.select(F.col("a").alias("part_id_a"), F.col("b").alias("part_id_b"))
+
+
+def p2_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each record's class of equal sources and the number of its near-duplicate classes."""
+    return duplicate_groups(*near_duplicates(_table(spark, sf_dir, "parts"))).withColumnRenamed("id", "part_id")
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that were cut, being larger than the pack."""
     packed = pack_texts(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "packs"))
@@ -37,7 +49,7 @@ def p7_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaked_windows(_table(spark, sf_dir, "eval_items"), _table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p6_found": p6_found, "p6_fill": p6_fill, "p7_found": p7_found, "p7_similar": p7_similar}
+QUERIES = {"p2_found": p2_found, "p2_groups": p2_groups, "p6_found": p6_found, "p6_fill": p6_fill, "p7_found": p7_found, "p7_similar": p7_similar}
 SQL: dict[str, str] = {
     "p6_found": r"select p.pack_id, d.doc_id from documents d, packs p where len(regexp_extract_all(d.text, '[\p{L}\p{N}]+|[^\p{L}\p{N}\p{Z}\p{C}]')) > p.capacity group by 1, 2",
 }
