@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from gneiss.llm.leakage import leaked_windows
 from gneiss.llm.neardup import duplicate_groups, duplicate_pairs, near_duplicates
 from gneiss.llm.packing import pack_texts
+from gneiss.llm.shapes import repeats, stored, usable_candidates, usable_signatures
+from gneiss.session import written
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +27,13 @@ def p2_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_groups(*near_duplicates(_table(spark, sf_dir, "parts"))).withColumnRenamed("id", "part_id")
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates that repeat a signature of the manifest or an earlier candidate."""
+    new = written(stored(usable_candidates(_table(spark, sf_dir, "exec_results"))), "candidates")
+    old = stored(usable_signatures(_table(spark, sf_dir, "manifest")))
+    return repeats(new, written(old.unionByName(new), "known_shapes"))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that were cut, being larger than the pack."""
     packed = pack_texts(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "packs"))
@@ -49,7 +58,18 @@ def p7_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaked_windows(_table(spark, sf_dir, "eval_items"), _table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_groups": p2_groups, "p6_found": p6_found, "p6_fill": p6_fill, "p7_found": p7_found, "p7_similar": p7_similar}
+QUERIES = {"p2_found": p2_found, "p2_groups": p2_groups, "p3_found": p3_found, "p6_found": p6_found, "p6_fill": p6_fill, "p7_found": p7_found, "p7_similar": p7_similar}
 SQL: dict[str, str] = {
+    "p3_found": """
+        with m as (select distinct geometry_signature.volume v, geometry_signature.surface_area a, list_sort(geometry_signature.principal_moments) p,
+                   geometry_signature.n_faces f, geometry_signature.n_edges e, geometry_signature.n_vertices n from manifest),
+        c as (select distinct cand_id, batch_no, volume v, surface_area a, list_sort(principal_moments) p, n_faces f, n_edges e, n_vertices n
+              from exec_results where success and n_solids = 1 and volume is not null and surface_area is not null and list_count(principal_moments) = 3),
+        k as (select -1 batch_no, 0 cand_id, * from m where list_count(p) = 3 and v is not null and a is not null union all
+              select batch_no, cand_id, v, a, p, f, e, n from c)
+        select distinct c.cand_id from c, k where c.f = k.f and c.e = k.e and c.n = k.n and (k.batch_no, k.cand_id) < (c.batch_no, c.cand_id)
+        and abs(c.v - k.v) <= 0.01 * greatest(c.v, k.v) and abs(c.a - k.a) <= 0.01 * greatest(c.a, k.a)
+        and abs(c.p[1] - k.p[1]) <= 0.01 * greatest(c.p[1], k.p[1]) and abs(c.p[2] - k.p[2]) <= 0.01 * greatest(c.p[2], k.p[2])
+        and abs(c.p[3] - k.p[3]) <= 0.01 * greatest(c.p[3], k.p[3])""",
     "p6_found": r"select p.pack_id, d.doc_id from documents d, packs p where len(regexp_extract_all(d.text, '[\p{L}\p{N}]+|[^\p{L}\p{N}\p{Z}\p{C}]')) > p.capacity group by 1, 2",
 }
