@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gneiss.llm.leakage import leaked_windows
 from gneiss.llm.neardup import duplicate_groups, duplicate_pairs, near_duplicates
 from gneiss.llm.packing import pack_texts
+from gneiss.llm.sampling import sample_to_targets
 from gneiss.llm.shapes import repeats, stored, usable_candidates, usable_signatures
 from gneiss.session import written
 
@@ -16,6 +17,25 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _sample(spark: SparkSession, sf_dir: str):
+    return sample_to_targets(*(_table(spark, sf_dir, t) for t in ("manifest", "sample_plans", "sample_targets")))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Categories that the manifest cannot fill, from the report of the samples drawn."""
+    return _sample(spark, sf_dir).report.where("unfillable").select("plan_id", "category_id")
+
+
+def p1_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What was drawn for each target, and what is missing."""
+    return _sample(spark, sf_dir).report
+
+
+def p1_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records drawn for each plan."""
+    return _sample(spark, sf_dir).records
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of records whose sources share at least 0.7 of their elements."""
     pairs = duplicate_pairs(*near_duplicates(_table(spark, sf_dir, "parts")))
@@ -58,8 +78,13 @@ def p7_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaked_windows(_table(spark, sf_dir, "eval_items"), _table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_groups": p2_groups, "p3_found": p3_found, "p6_found": p6_found, "p6_fill": p6_fill, "p7_found": p7_found, "p7_similar": p7_similar}
+QUERIES = {"p1_found": p1_found, "p1_report": p1_report, "p1_sample": p1_sample, "p2_found": p2_found, "p2_groups": p2_groups, "p3_found": p3_found, "p6_found": p6_found, "p6_fill": p6_fill, "p7_found": p7_found, "p7_similar": p7_similar}
 SQL: dict[str, str] = {
+    "p1_found": r"""
+        with m as (select distinct part_id, lower(regexp_replace(family, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g')) f, tier t from manifest)
+        select g.plan_id, g.category_id from sample_targets g left join sample_plans s using (plan_id)
+        where greatest(coalesce(g.min_rows, 0), coalesce(g.target_share * s.sample_rows, 0)) >
+              (select count(distinct part_id) from m where f <> '' and (g.family is null or f = lower(trim(g.family))) and (g.tier is null or t = g.tier))""",
     "p3_found": """
         with m as (select distinct geometry_signature.volume v, geometry_signature.surface_area a, list_sort(geometry_signature.principal_moments) p,
                    geometry_signature.n_faces f, geometry_signature.n_edges e, geometry_signature.n_vertices n from manifest),
