@@ -10,6 +10,7 @@ from gneiss.llm.neardup import duplicate_groups, duplicate_pairs, near_duplicate
 from gneiss.llm.packing import pack_texts
 from gneiss.llm.sampling import sample_to_targets
 from gneiss.llm.shapes import repeats, stored, usable_candidates, usable_signatures
+from gneiss.llm.varied import varied_subset
 from gneiss.session import written
 
 
@@ -54,6 +55,12 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats(new, written(old.unionByName(new), "known_shapes"))
 
 
+def p4_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records that stand for the groups of plan-varied."""
+    size = _table(spark, sf_dir, "sample_plans").where("plan_id = 'plan-varied'").agg(F.max("sample_rows")).first()[0] or 0
+    return varied_subset(_table(spark, sf_dir, "manifest"), size)
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that were cut, being larger than the pack."""
     packed = pack_texts(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "packs"))
@@ -78,7 +85,7 @@ def p7_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaked_windows(_table(spark, sf_dir, "eval_items"), _table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_report": p1_report, "p1_sample": p1_sample, "p2_found": p2_found, "p2_groups": p2_groups, "p3_found": p3_found, "p6_found": p6_found, "p6_fill": p6_fill, "p7_found": p7_found, "p7_similar": p7_similar}
+QUERIES = {"p1_found": p1_found, "p1_report": p1_report, "p1_sample": p1_sample, "p2_found": p2_found, "p2_groups": p2_groups, "p3_found": p3_found, "p4_subset": p4_subset, "p6_found": p6_found, "p6_fill": p6_fill, "p7_found": p7_found, "p7_similar": p7_similar}
 SQL: dict[str, str] = {
     "p1_found": r"""
         with m as (select distinct part_id, lower(regexp_replace(family, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g')) f, tier t from manifest)
