@@ -10,6 +10,7 @@ from gneiss.llm.neardup import duplicate_groups, duplicate_pairs, near_duplicate
 from gneiss.llm.packing import pack_texts
 from gneiss.llm.sampling import sample_to_targets
 from gneiss.llm.shapes import repeats, stored, usable_candidates, usable_signatures
+from gneiss.llm.subjects import fit_subjects, main_subjects, subject_sentences
 from gneiss.llm.varied import varied_subset
 from gneiss.session import written
 
@@ -85,7 +86,22 @@ def p7_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaked_windows(_table(spark, sf_dir, "eval_items"), _table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_report": p1_report, "p1_sample": p1_sample, "p2_found": p2_found, "p2_groups": p2_groups, "p3_found": p3_found, "p4_subset": p4_subset, "p6_found": p6_found, "p6_fill": p6_fill, "p7_found": p7_found, "p7_similar": p7_similar}
+def _mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return subject_sentences(docs, fit_subjects(docs, _table(spark, sf_dir, "doc_labels"), _table(spark, sf_dir, "subjects")))
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The one or two subjects that each document deals with."""
+    return main_subjects(_mixture(spark, sf_dir))
+
+
+def p8_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus by subject: documents, sentences and the sum of the documents' shares."""
+    return _mixture(spark, sf_dir).groupBy("subject_id").agg(F.count("*").alias("documents"), F.sum("sentences").alias("sentences"), F.round(F.sum("share"), 6).alias("share_sum"))
+
+
+QUERIES = {"p1_found": p1_found, "p1_report": p1_report, "p1_sample": p1_sample, "p2_found": p2_found, "p2_groups": p2_groups, "p3_found": p3_found, "p4_subset": p4_subset, "p6_found": p6_found, "p6_fill": p6_fill, "p7_found": p7_found, "p7_similar": p7_similar, "p8_found": p8_found, "p8_composition": p8_composition}
 SQL: dict[str, str] = {
     "p1_found": r"""
         with m as (select distinct part_id, lower(regexp_replace(family, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g')) f, tier t from manifest)
