@@ -25,9 +25,12 @@ HITS = "item_id long, doc_id long, run_words int, similarity double, hamming int
 
 
 def _format_characters() -> re.Pattern:
-    """Characters of Unicode category Cf."""
+    """Runs of characters of Unicode category Cf; a class of ranges is matched far faster than one of single characters."""
     if not _FORMAT:
-        _FORMAT.append(re.compile("[" + "".join(re.escape(c) for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) == "Cf") + "]+"))
+        codes = [c for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Cf"]
+        starts = [c for c, before in zip(codes, [-1, *codes]) if c != before + 1]
+        ends = [c for c, after in zip(codes, [*codes[1:], -1]) if c + 1 != after]
+        _FORMAT.append(re.compile("[" + "".join(f"{re.escape(chr(a))}-{re.escape(chr(b))}" for a, b in zip(starts, ends)) + "]+"))
     return _FORMAT[0]
 
 

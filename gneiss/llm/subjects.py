@@ -47,6 +47,13 @@ class SubjectModel:
     general: set[tuple[str, str]]
     enough: float
     seen: dict[tuple[str, ...], int] = field(default_factory=dict, repr=False)
+    alone: dict[str, tuple[int, float]] = field(default_factory=dict, repr=False)
+
+    def index(self) -> None:
+        """Notes the terms that load on one subject only: sentences of such terms of one subject need no folding in."""
+        for t, h in self.loading.items():
+            if len(one := np.flatnonzero(h)) == 1:
+                self.alone[t] = (int(one[0]), float(self.strength[t][one[0]]))
 
     def terms(self, words: list[str]) -> tuple[str, ...]:
         """A sentence's anchored terms, less those that stand in a pair known to be general."""
@@ -61,6 +68,9 @@ class SubjectModel:
         terms = self.terms(words)
         if not terms:
             return -1
+        simple = [self.alone.get(t) for t in terms]
+        if simple[0] and all(x and x[0] == simple[0][0] for x in simple):
+            return simple[0][0] if sum(x[1] for x in simple) >= self.enough else -1
         found = self.seen.get(terms)
         if found is None:
             h = np.stack([self.loading[t] for t in terms])
@@ -184,6 +194,7 @@ def fit_subjects(docs: DataFrame, labels: DataFrame, subjects: DataFrame, *, sam
     allowed = np.stack([anchors[t] for t in vocabulary], axis=1).astype(float)
     h = factorise(np.repeat(np.arange(table.num_rows), lengths), flat("terms"), flat("counts").astype(float), seeds, allowed)
     model.loading = {t: h[:, i] + 1e-9 * allowed[:, i] for t, i in vocabulary.items()}
+    model.index()
     return model
 
 
