@@ -56,7 +56,7 @@ def signature(volume: ColumnOrName, area: ColumnOrName, moments: ColumnOrName, f
         F.lit(version).alias("version"),
         round_sig(volume).alias("volume"),
         round_sig(area).alias("surface_area"),
-        F.transform(F.array_sort(_c(moments)), round_sig).alias("principal_moments"),
+        F.transform(F.array_sort(_c(moments)), lambda m: round_sig(m)).alias("principal_moments"),
         _c(faces).cast("int").alias("n_faces"),
         _c(edges).cast("int").alias("n_edges"),
         _c(vertices).cast("int").alias("n_vertices"),

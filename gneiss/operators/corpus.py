@@ -32,7 +32,7 @@ def shares(df: DataFrame, key: Column, name: str, order: str | None = None) -> D
     first = F.min(order) if order else F.min(key)
     counts = df.groupBy(key.alias(name)).agg(F.count("*").alias("n"), first.alias("_first"))
     total = F.sum("n").over(Window.partitionBy())
-    rank = F.row_number().over(Window.orderBy(F.desc("n"), "_first"))  # over one row per group
+    rank = F.row_number().over(Window.orderBy(F.desc("n"), "_first")).cast("bigint")  # over one row per group
     return counts.withColumn("pct", F.bround(F.col("n") * 100 / F.greatest(total, F.lit(1)), 1)).withColumn("rank", rank).drop("_first")
 
 

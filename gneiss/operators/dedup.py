@@ -22,10 +22,10 @@ def first_wins(df: DataFrame, key: list[Column], order: list[str], valid: Column
     digest = F.xxhash64(*[F.to_json(F.struct(c)) if t.startswith("map") else F.col(c) for c, t in df.dtypes])
     place = F.struct(*order, digest.alias("_digest"))
     rows = df.withColumn("_key", F.struct(*(k.alias(f"k{i}") for i, k in enumerate(key)))).withColumn("_place", place).withColumn("_ok", ok)
-    firsts = rows.where("_ok").groupBy("_key").agg(F.min("_place").alias("_first"))
-    marked = rows.join(firsts, F.when(rows["_ok"], rows["_key"]).eqNullSafe(firsts["_key"]) & rows["_ok"], "left").drop(firsts["_key"])
+    firsts = rows.where("_ok").groupBy(F.col("_key").alias("_first_key")).agg(F.min("_place").alias("_first"))
+    marked = rows.join(firsts, F.col("_ok") & F.col("_key").eqNullSafe(F.col("_first_key")), "left")
     decision = F.when(~F.col("_ok"), "invalid").when(F.col("_place") == F.col("_first"), "accepted").otherwise("duplicate")
-    return marked.withColumn("decision", decision).drop("_key", "_place", "_ok", "_first")
+    return marked.withColumn("decision", decision).drop("_key", "_place", "_ok", "_first", "_first_key")
 
 
 def accepted_firsts(df: DataFrame, key: list[Column], order: list[str]) -> DataFrame:
