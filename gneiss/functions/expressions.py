@@ -27,16 +27,20 @@ def evaluate(e: Column, params: Column) -> Column:
 
 
 def python_float(x: Column) -> Column:
-    """A double as Python writes it: the shortest digits, with a point from 1e-4 up to 1e16 and an exponent elsewhere."""
-    text = F.abs(x).cast("string")
-    mantissa, power = F.substring_index(text, "E", 1), F.when(F.instr(text, "E") > 0, F.substring_index(text, "E", -1).cast("int")).otherwise(0)
+    """A double as Python writes it: the shortest digits, with a point from 1e-4 up to 1e16 and an exponent elsewhere.
+
+    Of values that need more than 15 digits a few come out with one digit more than the shortest form; all read back as the same double.
+    """
+    tries = [F.format_string(f"%.{n}e", F.abs(x)) for n in (14, 15, 16)]  # the JVM's own text may have needless digits
+    text = F.coalesce(*(F.when(t.try_cast("double") == F.abs(x), t) for t in tries), tries[-1])
+    mantissa, power = F.substring_index(text, "e", 1), F.coalesce(F.substring_index(text, "e", -1).try_cast("int"), F.lit(0))
     digits = F.regexp_replace(F.replace(mantissa, F.lit("."), F.lit("")), "0+$", "")
     digits = F.when(digits == "", "0").otherwise(digits)
     shifted = F.concat(F.rpad(F.substring(digits, F.lit(1), power + 1), power + 1, "0"), F.lit("."), F.when(F.length(digits) > power + 1, F.substring(digits, power + 2, F.length(digits))).otherwise("0"))
     small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
     exponent = F.concat(F.when(power < 0, "-").otherwise("+"), F.lpad(F.abs(power).cast("string"), F.greatest(F.length(F.abs(power).cast("string")), F.lit(2)), "0"))
     scientific = F.concat(F.substring(digits, 1, 1), F.when(F.length(digits) > 1, F.concat(F.lit("."), F.substring(digits, F.lit(2), F.length(digits)))).otherwise(""), F.lit("e"), exponent)
-    plain = F.when(F.instr(text, "E") == 0, text).when((power >= 0) & (power < 16), shifted).when((power < 0) & (power >= -4), small).otherwise(scientific)
+    plain = F.when((power >= 0) & (power < 16), shifted).when((power < 0) & (power >= -4), small).otherwise(scientific)
     plain = F.when(F.isnan(x), "nan").when(F.abs(x) == float("inf"), "inf").otherwise(plain)
     return F.concat(F.when((x < 0) | ((x == 0) & F.startswith(x.cast("string"), F.lit("-"))), "-").otherwise(""), plain)
 

@@ -146,7 +146,7 @@ def fmt_num(x: ColumnOrName) -> Column:
     v = _c(x).cast("double")
     whole = F.abs(v - F.rint(v)) < 1e-6
     short = F.regexp_replace(F.format_string("%.3f", v), r"\.?0+$", "")
-    return F.when(F.isnan(v), F.lit("nan")).when(whole, F.rint(v).cast("decimal(38,0)").cast("string")).otherwise(short)
+    return F.when(v.isNull(), None).when(F.isnan(v), "nan").when(whole, F.rint(v).cast("decimal(38,0)").cast("string")).otherwise(short)
 
 
 def mm(x: ColumnOrName) -> Column:
