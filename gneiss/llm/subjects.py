@@ -146,8 +146,8 @@ def fit_subjects(docs: DataFrame, labels: DataFrame, subjects: DataFrame, *, sam
     """The model, from at most `sample_docs` labelled documents (those with the smallest hash; whole texts).
 
     Labels are cleaned of case and blanks; null and unknown ones do not count, doubled ones count once, and of those in conflict each counts.
-    A term anchors a subject if at least 0.3 of its documents, 2.5 times the usual share, have that label. A pair of words that is
-    frequent but whose documents' labels are spread (under 0.35 for any subject) makes its anchored words general there. Without subjects or labels the model has no
+    A term anchors a subject if at least 0.3 of its documents have that label, and 2.5 times the label's usual share p of documents (or
+    (1 + p) / 2, if that is less). A frequent pair of words whose documents' labels are spread (under 0.35 or 1.25 p for each subject) makes its anchored words general there. Without subjects or labels the model has no
     terms. The driver holds the anchored terms and, of the sample, their counts by document.
     """
     rows, names = _labelled(docs, labels, subjects, sample_docs, doc_id, text)
@@ -165,7 +165,7 @@ def fit_subjects(docs: DataFrame, labels: DataFrame, subjects: DataFrame, *, sam
     anchors, strength = {}, {}
     for t, (n, by) in words.items():
         pure = by / (n + 1)
-        good = (pure >= 0.3) & (pure >= 2.5 * prior) & (by >= 4)
+        good = (pure >= np.maximum(0.3, np.minimum(2.5 * prior, (1 + prior) / 2))) & (by >= 4)
         if good.any():
             anchors[t], strength[t] = good, pure
     if not anchors:
@@ -175,7 +175,7 @@ def fit_subjects(docs: DataFrame, labels: DataFrame, subjects: DataFrame, *, sam
 
     near = set(anchors)
     pairs = _purity(rows.mapInArrow(_count(k, lambda s: (f"{a} {b}" for a, b in zip(s, s[1:]) if a in near or b in near)), schema), k, sizes, max(6, total // 20_000))
-    general = {tuple(t.split(" ")) for t, (n, by) in pairs.items() if by.max() < 0.35 * (n + 1)}
+    general = {tuple(t.split(" ")) for t, (n, by) in pairs.items() if (by < np.maximum(0.35, 1.25 * prior) * (n + 1)).all()}
 
     model = SubjectModel(names, {t: good.astype(float) for t, good in anchors.items()}, strength, general, enough)
     vocabulary = {t: i for i, t in enumerate(sorted(anchors))}
