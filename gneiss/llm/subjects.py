@@ -203,10 +203,12 @@ def subject_sentences(docs: DataFrame, model: SubjectModel, *, doc_id: str = "do
 
     Texts that are null, empty or speak of no subject have no row; texts that share a doc_id are one document; the rows are not shuffled but for such documents.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    plain = (model.subjects, model.loading, model.strength, model.general, model.enough)  # executors may lack the package, so no class of it is sent
+    shared = docs.sparkSession.sparkContext.broadcast(plain)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = SubjectModel(*shared.value)
+        model.index()
         for batch in batches:
             ids, subjects, counts = [], [], []
             for i, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
