@@ -185,9 +185,9 @@ def summarise(points: DataFrame, entries: int) -> tuple[np.ndarray, np.ndarray]:
 def varied_subset(manifest: DataFrame, size: int, *, entries: int | None = None, family_weight: float = 1.0) -> DataFrame:
     """A subset of `size` records that spans the shapes: group_no, part_id, distance, group_records.
 
-    One record per group: of the records that lie nearer to its centre than to any other, the nearest (ties fall to the smaller part_id); a group of
-    which no record does so takes the record nearest of all, unless another group has it. group_records counts the records
-    summed up in the group. Records without a usable signature have no place among the shapes and are left out; repeated rows
+    One record per group: of the records that lie nearer to its centre than to any other, the nearest (ties fall to the smaller part_id). Groups
+    of which no record does so then take, in turn, the nearest records that are left, so that the subset has its full size. group_records counts the
+    records summed up in the group. Records without a usable signature have no place among the shapes and are left out; repeated rows
     are one record; if there are fewer distinct vectors than `size`, one record for each is returned; size 0 or an
     empty table gives no rows.
 
@@ -204,35 +204,47 @@ def varied_subset(manifest: DataFrame, size: int, *, entries: int | None = None,
     k = group.max() + 1
     count = np.bincount(group, n, k)
     centres = np.stack([np.bincount(group, ls[:, d], k) for d in range(ls.shape[1])], axis=1) / count[:, None]
-    shared = spark.sparkContext.broadcast((centres, count))
-
-    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The record of this partition nearest each centre, among those that have no nearer centre and among all."""
-        centres, _ = shared.value
-        best = np.full((2, len(centres)), np.inf)
-        who = np.full((2, len(centres)), None, object)
+    picked: dict[int, tuple[str, float]] = {}
+    first = True
+    while len(picked) < k:
+        missing = np.array([c for c in range(k) if c not in picked])
+        found = _nearest(points, centres if first else centres[missing], first, {name for name, _ in picked.values()})
+        won: dict[str, tuple[float, int]] = {}
+        for c, distance, name in found:
+            won[name] = min(won.get(name, (np.inf, 0)), (distance, c if first else int(missing[c])))
+        if not won and not first:
+            break
+        picked |= {c: (name, distance) for name, (distance, c) in won.items()}
+        first = False
+    rows = [(c, name, distance, int(round(count[c]))) for c, (name, distance) in sorted(picked.items())]
+    return spark.createDataFrame(rows, schema)
+
+
+def _nearest(points: DataFrame, centres: np.ndarray, own: bool, taken: set[str]) -> list[tuple[int, float, str]]:
+    """(centre, distance, id) of the record nearest each centre that is not taken; with own, among those that have no nearer centre."""
+    shared = points.sparkSession.sparkContext.broadcast((centres, taken))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centres, taken = shared.value
+        best: dict[int, tuple[float, str]] = {}
         square = (centres**2).sum(1)
         for b in batches:
             ids = b.column(0).to_pylist()
             for at in range(0, len(ids), step := max(1, (1 << 22) // len(centres))):
                 x = _matrix(b.column(1).slice(at, step))
                 d = np.maximum(0, square[None, :] - 2 * x @ centres.T + (x**2).sum(1)[:, None])
-                home = d.argmin(1)
-                for r, c in enumerate(home):
-                    _better(best, who, 0, c, d[r, c], ids[at + r])
-                low = d.argmin(0)
-                for c in np.flatnonzero(d[low, np.arange(len(centres))] < best[1]):
-                    _better(best, who, 1, c, d[low[c], c], ids[at + low[c]])
-        rows = [(int(c), k, float(np.sqrt(best[k, c])), who[k, c]) for k in (0, 1) for c in range(len(centres)) if who[k, c] is not None]
-        yield pa.RecordBatch.from_pylist([dict(zip(("group_no", "far", "distance", "part_id"), r)) for r in rows], pa.schema([("group_no", pa.int32()), ("far", pa.int32()), ("distance", pa.float64()), ("part_id", pa.string())]))
-
-    local = points.mapInArrow(nearest, "group_no int, far int, distance double, part_id string")
-    picked = local.groupBy("group_no").agg(F.min(F.struct("far", "distance", "part_id")).alias("r"))
-    picked = picked.groupBy("r.part_id").agg(F.min(F.struct("r.far", "r.distance", "group_no")).alias("r")).select("r.group_no", "part_id", "r.distance")
-    sizes = spark.createDataFrame([(int(i), int(round(c))) for i, c in enumerate(count)], "group_no int, group_records long")
-    return picked.join(sizes, "group_no").select("group_no", "part_id", "distance", "group_records")
-
-
-def _better(best: np.ndarray, who: np.ndarray, k: int, c: int, distance: float, name: str) -> None:
-    if distance < best[k, c] or distance == best[k, c] and name < who[k, c]:
-        best[k, c], who[k, c] = distance, name
+                names = ids[at : at + len(x)]
+                if own:
+                    near = d.argmin(1)
+                    found = zip(near.tolist(), d[np.arange(len(x)), near].tolist(), names)
+                else:
+                    d[[n in taken for n in names]] = np.inf
+                    low = d.min(0)
+                    found = ((int(c), float(low[c]), names[r]) for r, c in np.argwhere(d == low[None, :]) if low[c] < np.inf)
+                for c, distance, name in found:
+                    if c not in best or (distance, name) < best[c]:
+                        best[c] = (distance, name)
+        yield pa.RecordBatch.from_arrays([pa.array(list(best), pa.int32()), pa.array([float(np.sqrt(v[0])) for v in best.values()], pa.float64()), pa.array([v[1] for v in best.values()], pa.string())], names=["c", "distance", "name"])
+
+    local = points.mapInArrow(run, "c int, distance double, name string")
+    return [(r.c, r.m.distance, r.m.name) for r in local.groupBy("c").agg(F.min(F.struct("distance", "name")).alias("m")).collect()]
