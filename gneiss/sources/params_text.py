@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ast
 import json
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -13,25 +14,57 @@ from pyspark.sql import functions as F
 PARAM_TYPE = "part_id string, pos int, name string, type string, default string, min double, max double, step double, choices array<string>, grp string, label string"
 
 
-def params_literal(text: str | None) -> dict | None:
-    """The dict assigned to PARAMS in a source; None if there is none or it is not complete."""
-    if not text:
-        return None
-    at = text.find("PARAMS")
-    if at < 0 or "=" not in text[at:]:
+_STRING = re.compile(r'"[^"\n]*"|\'[^\'\n]*\'')
+_COMMENT = re.compile(r'("[^"\n]*"|\'[^\'\n]*\')|#[^\n]*')
+_TRAILING = re.compile(r",(\s*[}\]])")
+_WORDS = re.compile(r"\b(?:True|False|None)\b")
+_JSON_WORDS = {"True": "true", "False": "false", "None": "null"}
+_ASSIGN = re.compile(r"(?:^|\n)\s*PARAMS\s*=\s*")
+
+
+def _refuse(name: str) -> None:
+    raise ValueError(name)
+
+
+_DECODERS = {f: json.JSONDecoder(parse_int=f, parse_constant=_refuse) for f in (int, float)}
+
+
+def params_literal(text: str | None, whole: bool = False, numbers: type = int) -> dict | None:
+    """The dict assigned to PARAMS in a source; None if there is none or it is not complete.
+
+    With whole, nothing but comments may stand before or after the literal. numbers=float reads whole numbers as floats. Usual texts are turned into JSON
+    and decoded natively; any with escapes, or quotes inside quotes, is read as a Python literal. Nothing is run.
+    """
+    head = (_ASSIGN.match if whole else _ASSIGN.search)(text) if text else None
+    if not head:
         return None
-    body = text[at:].split("=", 1)[1].lstrip()
+    body = text[head.end() :]
+    strings = _STRING.findall(body)
+    if "\\" not in body and body.count("'") + body.count('"') == 2 * len(strings) and not _WORDS.search(" ".join(strings)):
+        plain = _COMMENT.sub(r"\1", body) if "#" in body else body
+        plain = _TRAILING.sub(r"\1", _WORDS.sub(lambda m: _JSON_WORDS[m[0]], plain.replace("'", '"')))
+        try:
+            value, end = _DECODERS[numbers].raw_decode(plain)
+            if isinstance(value, dict) and (not whole or not plain[end:].strip()):
+                return value
+        except (ValueError, RecursionError):
+            pass
     try:
-        tree = ast.parse(f"PARAMS = {body}")
+        tree = ast.parse("PARAMS = " + body.replace("\r\n", "\n").strip())
         value = ast.literal_eval(tree.body[0].value)
-    except SyntaxError:
-        try:
-            value = ast.literal_eval(body.strip())
-        except (ValueError, SyntaxError, MemoryError, RecursionError):
-            return None
-    except (ValueError, MemoryError, RecursionError):
+    except (ValueError, SyntaxError, TypeError, RecursionError, MemoryError):
         return None
-    return value if isinstance(value, dict) else None
+    if not isinstance(value, dict) or whole and len(tree.body) != 1:
+        return None
+    return _floats(value) if numbers is float else value
+
+
+def _floats(x: object) -> object:
+    if isinstance(x, dict):
+        return {k: _floats(v) for k, v in x.items()}
+    if isinstance(x, (list, tuple)):
+        return [_floats(v) for v in x]
+    return float(x) if isinstance(x, int) and not isinstance(x, bool) else x
 
 
 def explode_params(sources: DataFrame, text: str = "params", key: str = "part_id") -> DataFrame:
