@@ -26,9 +26,6 @@ def _refuse(name: str) -> None:
     raise ValueError(name)
 
 
-_DECODERS = {f: json.JSONDecoder(parse_int=f, parse_constant=_refuse) for f in (int, float)}
-
-
 def params_literal(text: str | None, whole: bool = False, numbers: type = int) -> dict | None:
     """The dict assigned to PARAMS in a source; None if there is none or it is not complete.
 
@@ -44,7 +41,7 @@ def params_literal(text: str | None, whole: bool = False, numbers: type = int) -
         plain = _COMMENT.sub(r"\1", body) if "#" in body else body
         plain = _TRAILING.sub(r"\1", _WORDS.sub(lambda m: _JSON_WORDS[m[0]], plain.replace("'", '"')))
         try:
-            value, end = _DECODERS[numbers].raw_decode(plain)
+            value, end = json.JSONDecoder(parse_int=numbers, parse_constant=_refuse).raw_decode(plain)
             if isinstance(value, dict) and (not whole or not plain[end:].strip()):
                 return value
         except (ValueError, RecursionError):
