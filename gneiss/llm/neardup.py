@@ -8,7 +8,6 @@ merging short lists with a heap and probing long ones.
 
 from __future__ import annotations
 
-import ast
 import heapq
 import json
 import math
@@ -25,49 +24,15 @@ from pyspark.sql import functions as F
 
 from gneiss.operators.pairs import pairs_within
 from gneiss.session import written
+from gneiss.sources.params_text import params_literal
 
 _STRING = re.compile(r'"[^"\n]*"|\'[^\'\n]*\'')
-_COMMENT = re.compile(r'("[^"\n]*"|\'[^\'\n]*\')|#[^\n]*')
 _BLANK = re.compile(r'("[^"\n]*"|\'[^\'\n]*\')|#[^\n]*|[^\S\n]+')
-_TRAILING = re.compile(r",(\s*[}\]])")
-_WORDS = re.compile(r"\b(?:True|False|None)\b")
-_JSON_WORDS = {"True": "true", "False": "false", "None": "null"}
-_ASSIGN = re.compile(r"\s*PARAMS\s*=\s*")
 
 
 def parse_params(text: str) -> dict | None:
-    """The dict of a `PARAMS = {...}` literal, numbers as floats; None if the text is not complete.
-
-    Usual texts are turned into JSON and decoded natively; any with escapes or quotes inside quotes is read as a Python literal. Nothing is run.
-    """
-    head = _ASSIGN.match(text)
-    if not head:
-        return None
-    body = text[head.end() :]
-    quotes = body.count("'") + body.count('"')
-    strings = _STRING.findall(body)
-    if "\\" not in body and quotes == 2 * len(strings) and "True" not in (joined := "".join(strings)) and "False" not in joined and "None" not in joined:
-        plain = _COMMENT.sub(r"\1", body) if "#" in body else body
-        plain = _WORDS.sub(lambda m: _JSON_WORDS[m[0]], plain.replace("'", '"'))
-        plain = _TRAILING.sub(r"\1", plain)
-        try:
-            value = json.loads(plain, parse_int=float, parse_constant=lambda _: [][0])
-            return value if isinstance(value, dict) else None
-        except (ValueError, IndexError, RecursionError):
-            pass
-    try:
-        value = ast.literal_eval(body.strip().replace("\r\n", "\n"))
-    except (ValueError, SyntaxError, TypeError, RecursionError, MemoryError):
-        return None
-    return _floats(value) if isinstance(value, dict) else None
-
-
-def _floats(x: object) -> object:
-    if isinstance(x, dict):
-        return {k: _floats(v) for k, v in x.items()}
-    if isinstance(x, (list, tuple)):
-        return [_floats(v) for v in x]
-    return float(x) if isinstance(x, int) and not isinstance(x, bool) else x
+    """The dict of a `PARAMS = {...}` literal, numbers as floats; None if the text is not complete."""
+    return params_literal(text, whole=True, numbers=float)
 
 
 def build_statements(text: str) -> list[str] | None:
