@@ -6,12 +6,19 @@ clamp or half; parameters are a map from name to number.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 EXPR_TYPE = "struct<type: string, param: string, param_a: string, param_b: string, factor: double, limit: double, value: double>"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is worked out once, however often body uses it: the expression does not grow with each use."""
+    return F.get(F.transform(F.array(value), lambda v: body(v)), 0)
+
+
 def evaluate(e: Column, params: Column) -> Column:
     """The expression's value; null if a parameter is missing or the type unknown."""
     p = lambda field: F.try_element_at(params, e[field])
@@ -31,18 +38,28 @@ def python_float(x: Column) -> Column:
 
     Of values that need more than 15 digits a few come out with one digit more than the shortest form; all read back as the same double.
     """
-    tries = [F.format_string(f"%.{n}e", F.abs(x)) for n in (14, 15, 16)]  # the JVM's own text may have needless digits
-    text = F.coalesce(*(F.when(t.try_cast("double") == F.abs(x), t) for t in tries), tries[-1])
-    mantissa, power = F.substring_index(text, "e", 1), F.coalesce(F.substring_index(text, "e", -1).try_cast("int"), F.lit(0))
-    digits = F.regexp_replace(F.replace(mantissa, F.lit("."), F.lit("")), "0+$", "")
-    digits = F.when(digits == "", "0").otherwise(digits)
-    shifted = F.concat(F.rpad(F.substring(digits, F.lit(1), power + 1), power + 1, "0"), F.lit("."), F.when(F.length(digits) > power + 1, F.substring(digits, power + 2, F.length(digits))).otherwise("0"))
-    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
-    exponent = F.concat(F.when(power < 0, "-").otherwise("+"), F.lpad(F.abs(power).cast("string"), F.greatest(F.length(F.abs(power).cast("string")), F.lit(2)), "0"))
-    scientific = F.concat(F.substring(digits, 1, 1), F.when(F.length(digits) > 1, F.concat(F.lit("."), F.substring(digits, F.lit(2), F.length(digits)))).otherwise(""), F.lit("e"), exponent)
-    plain = F.when((power >= 0) & (power < 16), shifted).when((power < 0) & (power >= -4), small).otherwise(scientific)
-    plain = F.when(F.isnan(x), "nan").when(F.abs(x) == float("inf"), "inf").otherwise(plain)
-    return F.concat(F.when((x < 0) | ((x == 0) & F.startswith(x.cast("string"), F.lit("-"))), "-").otherwise(""), plain)
+    size = F.abs(x)
+    tries = [F.format_string(f"%.{n}e", size) for n in (14, 15, 16)]  # the JVM's own text may have needless digits
+    text = F.coalesce(*(F.when(t.try_cast("double") == size, t) for t in tries), tries[-1])
+    sign = F.when((x < 0) | ((x == 0) & F.startswith(x.cast("string"), F.lit("-"))), "-").otherwise("")
+    number = F.when(F.isnan(x), "nan").when(size == float("inf"), "inf").otherwise(let(text, _positional))
+    return F.when(x.isNotNull(), F.concat(sign, number))
+
+
+def _positional(text: Column) -> Column:
+    digits = F.regexp_replace(F.replace(F.substring_index(text, "e", 1), F.lit("."), F.lit("")), "0+$", "")
+    power = F.coalesce(F.substring_index(text, "e", -1).try_cast("int"), F.lit(0))
+
+    def place(parts: Column) -> Column:
+        d, n = parts["digits"], parts["power"]
+        rest = lambda start: F.substring(d, start, F.length(d))
+        large = F.concat(F.rpad(F.substring(d, F.lit(1), n + 1), n + 1, "0"), F.lit("."), F.when(F.length(d) > n + 1, rest(n + 2)).otherwise("0"))
+        small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -n - 1), d)
+        exponent = F.format_string("e%+03d", n)
+        scientific = F.concat(F.substring(d, 1, 1), F.when(F.length(d) > 1, F.concat(F.lit("."), rest(F.lit(2)))).otherwise(""), exponent)
+        return F.when((n >= 0) & (n < 16), large).when((n < 0) & (n >= -4), small).otherwise(scientific)
+
+    return let(F.struct(F.when(digits == "", "0").otherwise(digits).alias("digits"), power.alias("power")), place)
 
 
 def source_text(e: Column) -> Column:

@@ -16,7 +16,6 @@ from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from fractions import Fraction
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
