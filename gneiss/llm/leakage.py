@@ -43,27 +43,34 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall(text.casefold())
 
 
-class _Words:
+class _Words(dict):
     """Numbers for words: a word's 64-bit hash, kept for words already seen by this task."""
 
-    def __init__(self) -> None:
-        self.seen: dict[str, int] = {}
+    def __missing__(self, word: str) -> int:
+        if len(self) > 1_000_000:
+            self.clear()
+        self[word] = number = xxhash.xxh3_64_intdigest(word)
+        return number
 
     def ids(self, words: list[str]) -> np.ndarray:
-        if len(self.seen) > 1_000_000:
-            self.seen.clear()
-        seen = self.seen
-        for w in set(words) - seen.keys():
-            seen[w] = xxhash.xxh3_64_intdigest(w)
-        return np.fromiter((seen[w] for w in words), np.uint64, len(words))
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
 def simhash_windows(ids: np.ndarray, window: int) -> np.ndarray:
-    """64-bit SimHash of every run of `window` word numbers: bit by bit, the majority of the words' hashes (ties give 0)."""
-    bits = np.unpackbits(ids.view(np.uint8).reshape(-1, 8), axis=1)
-    sums = np.zeros((len(ids) + 1, 64), np.int32)
-    np.cumsum(bits, axis=0, out=sums[1:])
-    return np.packbits(2 * (sums[window:] - sums[:-window]) > window, axis=1).view(np.uint64).ravel()
+    """64-bit SimHash of every run of `window` word numbers: bit by bit, the majority of the words' hashes (ties give 0).
+
+    Sums over a window are put together from sums over runs of 1, 2, 4, ... words.
+    """
+    bits = np.unpackbits(ids.view(np.uint8).reshape(-1, 8), axis=1).astype(np.uint8 if window < 256 else np.uint32)
+    n, at, width, total = len(ids) - window + 1, 0, 1, None
+    while width <= window:
+        if window & width:
+            part = bits[at : at + n]
+            total = part.copy() if total is None else np.add(total, part, out=total)
+            at += width
+        bits = bits[:-width] + bits[width:]
+        width *= 2
+    return np.packbits(total > window // 2, axis=1).view(np.uint64).ravel()
 
 
 class BlockIndex:
@@ -76,7 +83,8 @@ class BlockIndex:
         for lo, hi in zip(edges, edges[1:]):
             values = self._cut(prints, lo, hi)
             order = np.argsort(values, kind="stable")
-            self.blocks.append((int(lo), int(hi), values[order], order))
+            starts = np.searchsorted(values[order], np.arange((1 << int(hi - lo)) + 1, dtype=np.uint64)) if hi - lo <= 20 else None
+            self.blocks.append((int(lo), int(hi), values[order], order, starts))
 
     @staticmethod
     def _cut(prints: np.ndarray, lo: int, hi: int) -> np.ndarray:
@@ -85,9 +93,13 @@ class BlockIndex:
     def within(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(query, entry) index pairs, once each, of all fingerprints at most `radius` bits apart."""
         found = []
-        for k, (lo, hi, values, order) in enumerate(self.blocks):
+        for k, (lo, hi, values, order, starts) in enumerate(self.blocks):
             cut = self._cut(queries, lo, hi)
-            first, last = np.searchsorted(values, cut, "left"), np.searchsorted(values, cut, "right")
+            if starts is None:
+                first, last = np.searchsorted(values, cut, "left"), np.searchsorted(values, cut, "right")
+            else:
+                cut = cut.astype(np.int64)
+                first, last = starts[cut], starts[cut + 1]
             count = last - first
             q = np.repeat(np.arange(len(queries)), count)
             e = order[np.repeat(first - (np.cumsum(count) - count), count) + np.arange(len(q))]

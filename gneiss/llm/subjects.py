@@ -126,18 +126,30 @@ def _purity(rows: DataFrame, k: int, sizes: np.ndarray, least: int) -> dict[str,
     return {r["term"]: (r["n"], np.array([r[f"s{i}"] for i in range(k)], float)) for r in counts.toLocalIterator()}
 
 
+def _plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as lines of words, one sentence a line, so that they are taken apart once."""
+    for batch in batches:
+        lines = ["\n".join(" ".join(s) for s in sentences_of(x)) for x in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string()), batch.column("labels")], names=["lines", "labels"])
+
+
+def _lines(text: str) -> list[list[str]]:
+    return [s.split(" ") for s in text.split("\n")] if text else []
+
+
 def _count(k: int, terms):
     """Documents by term and label, summed per batch before they are sent."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: Counter[str] = Counter()
-            by: dict[str, np.ndarray] = {}
-            for text, labels in zip(batch.column("text").to_pylist(), batch.column("labels").to_pylist()):
-                for t in {t for s in sentences_of(text) for t in terms(s)}:
-                    found[t] += 1
-                    by.setdefault(t, np.zeros(k, np.int64))[labels] += 1
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64()), pa.array([by[t].tolist() for t in found], pa.list_(pa.int64()))], names=["term", "n", "by"])
+            by: list[Counter[str]] = [Counter() for _ in range(k)]
+            for lines, labels in zip(batch.column("lines").to_pylist(), batch.column("labels").to_pylist()):
+                own = {t for s in _lines(lines) for t in terms(s)}
+                found.update(own)
+                for s in labels:
+                    by[s].update(own)
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64()), pa.array([[c[t] for c in by] for t in found], pa.list_(pa.int64()))], names=["term", "n", "by"])
 
     return run
 
@@ -151,7 +163,7 @@ def fit_subjects(docs: DataFrame, labels: DataFrame, subjects: DataFrame, *, sam
     terms. The driver holds the anchored terms and, of the sample, their counts by document.
     """
     rows, names = _labelled(docs, labels, subjects, sample_docs, doc_id, text)
-    rows = written(rows.select("doc_id", "text", "labels"), "labelled_texts")
+    rows = written(rows.select("text", "labels").mapInArrow(_plain, "lines string, labels array<int>"), "labelled_texts")
     k = len(names)
     sizes = np.zeros(k)
     for r in rows.select(F.explode("labels").alias("s")).groupBy("s").count().collect():
@@ -182,7 +194,7 @@ def fit_subjects(docs: DataFrame, labels: DataFrame, subjects: DataFrame, *, sam
 
     def matrix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            per = [Counter(vocabulary[t] for s in sentences_of(x) for t in model.terms(s)) for x in batch.column("text").to_pylist()]
+            per = [Counter(vocabulary[t] for s in _lines(x) for t in model.terms(s)) for x in batch.column("lines").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([list(c) for c in per], pa.list_(pa.int32())), pa.array([list(c.values()) for c in per], pa.list_(pa.int32())), batch.column("labels")], names=["terms", "counts", "labels"])
 
     table = rows.mapInArrow(matrix, "terms array<int>, counts array<int>, labels array<int>").toArrow()
