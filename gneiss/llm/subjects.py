@@ -47,13 +47,11 @@ class SubjectModel:
     general: set[tuple[str, str]]
     enough: float
     seen: dict[tuple[str, ...], int] = field(default_factory=dict, repr=False)
-    alone: dict[str, tuple[int, float]] = field(default_factory=dict, repr=False)
+    sparse: dict[str, list[tuple[int, float, float]]] = field(default_factory=dict, repr=False)
 
     def index(self) -> None:
-        """Notes the terms that load on one subject only: sentences of such terms of one subject need no folding in."""
-        for t, h in self.loading.items():
-            if len(one := np.flatnonzero(h)) == 1:
-                self.alone[t] = (int(one[0]), float(self.strength[t][one[0]]))
+        """Notes each term's subjects with loading and strength; most terms have one."""
+        self.sparse = {t: [(int(s), float(h[s]), float(self.strength[t][s])) for s in np.flatnonzero(h)] for t, h in self.loading.items()}
 
     def terms(self, words: list[str]) -> tuple[str, ...]:
         """A sentence's anchored terms, less those that stand in a pair known to be general."""
@@ -68,23 +66,32 @@ class SubjectModel:
         terms = self.terms(words)
         if not terms:
             return -1
-        simple = [self.alone.get(t) for t in terms]
-        if simple[0] and all(x and x[0] == simple[0][0] for x in simple):
-            return simple[0][0] if sum(x[1] for x in simple) >= self.enough else -1
+        held = [self.sparse[t] for t in terms]
+        one = held[0][0][0]
+        if all(len(x) == 1 and x[0][0] == one for x in held):
+            return one if sum(x[0][2] for x in held) >= self.enough else -1
         found = self.seen.get(terms)
         if found is None:
-            h = np.stack([self.loading[t] for t in terms])
-            w = np.ones(h.shape[1])
-            for _ in range(15):
-                part = h * w
-                part /= np.maximum(part.sum(1, keepdims=True), 1e-300)
-                w = part.sum(0)
-            score = (part * np.stack([self.strength[t] for t in terms])).sum(0)
-            found = int(score.argmax()) if score.max() >= self.enough else -1
+            found = self._fold_in(held)
             if len(self.seen) < 200_000:
                 self.seen[terms] = found
         return found
 
+    def _fold_in(self, held: list[list[tuple[int, float, float]]], rounds: int = 15) -> int:
+        """The subject with most strength after `rounds` of updates of the sentence's mixture; few terms, so plain numbers are fastest."""
+        w = dict.fromkeys(sorted({s for x in held for s, _, _ in x}), 1.0)
+        for _ in range(rounds):
+            new, score = dict.fromkeys(w, 0.0), dict.fromkeys(w, 0.0)
+            for x in held:
+                total = sum(h * w[s] for s, h, _ in x) or 1e-300
+                for s, h, strength in x:
+                    part = h * w[s] / total
+                    new[s] += part
+                    score[s] += part * strength
+            w = new
+        best = max(score, key=score.__getitem__)
+        return best if score[best] >= self.enough else -1
+
 
 def factorise(docs: np.ndarray, terms: np.ndarray, counts: np.ndarray, labels: np.ndarray, allowed: np.ndarray, rounds: int = 30) -> np.ndarray:
     """Loadings (subjects x terms, rows sum to 1) by alternating multiplicative updates under Kullback-Leibler loss.
