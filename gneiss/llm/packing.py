@@ -153,28 +153,32 @@ def plan_containers(counts: dict[int, int], capacity: int) -> tuple[dict[int, tu
     return {s: tuple(np.array(c, np.int64) for c in zip(*r)) for s, r in runs.items()}, bins
 
 
-def pieces_of(docs: DataFrame, packs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", pack_id: str = "pack_id", capacity: str = "capacity") -> DataFrame:
+def pieces_of(docs: DataFrame, kinds: list[tuple[str, int]], *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(pack_id, capacity, doc_id, piece_no, first_token, tokens): a text, whole unless it exceeds the pack's capacity."""
     sizes = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.regexp_count(F.col(text), F.lit(TOKEN)).alias("total")).where("total > 0")
-    kinds = F.broadcast(packs.select(F.col(pack_id).alias("pack_id"), F.col(capacity).cast("long").alias("capacity")).where("capacity > 0"))
+    packs = F.array(*(F.struct(F.lit(p).cast("string").alias("pack_id"), F.lit(c).cast("long").alias("capacity")) for p, c in kinds))
+    rows = sizes.select("doc_id", "total", F.explode(packs).alias("pack")).select("doc_id", "total", "pack.*")
     cut = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("total") - 1) / F.col("capacity")))).alias("piece_no")
-    rows = sizes.crossJoin(kinds).select("pack_id", "capacity", "doc_id", "total", cut)
     first = F.col("piece_no") * F.col("capacity")
-    return rows.select("pack_id", "capacity", "doc_id", "piece_no", first.alias("first_token"), F.least("capacity", F.col("total") - first).cast("int").alias("tokens"))
+    return rows.select("pack_id", "capacity", "doc_id", "total", cut).select("pack_id", "capacity", "doc_id", "piece_no", first.alias("first_token"), F.least("capacity", F.col("total") - first).cast("int").alias("tokens"))
 
 
-def pack_texts(docs: DataFrame, packs: DataFrame, slice_rows: int = 50_000, **columns: str) -> DataFrame:
+def pack_texts(docs: DataFrame, packs: DataFrame, slice_rows: int = 50_000, *, doc_id: str = "doc_id", text: str = "text", pack_id: str = "pack_id", capacity: str = "capacity") -> DataFrame:
     """Which container of each pack holds which text: pack_id, bin_no, doc_id, piece_no, first_token, tokens.
 
     A text of no more tokens than the capacity has one piece, number 0; a longer one is cut at multiples of the capacity. Null
     and empty texts, and texts without tokens, need no container and have no row; packs with a null or non-positive capacity
-    are passed over; repeated rows are items of their own; either table may be empty. The number of packs is taken to be small
-    (they are broadcast, up to 10,000). Of the items, the driver sees how many have each size: at most the sum of the capacities.
+    are passed over; repeated rows are items of their own; either table may be empty. At most 1,000 kinds of packs are taken. Of the
+    items, the driver sees how many have each size: at most the sum of the capacities.
     """
-    if packs.count() > 10_000:
-        raise ValueError("more than 10,000 kinds of containers")
     spark = docs.sparkSession
-    items = written(pieces_of(docs, packs, **columns), "pack_items")
+    usable = packs.select(F.col(pack_id), F.col(capacity).cast("long")).where(F.col(capacity) > 0).distinct()
+    kinds = [tuple(r) for r in usable.take(1001)]
+    if len(kinds) > 1000:
+        raise ValueError("more than 1,000 kinds of containers")
+    if not kinds:
+        return spark.createDataFrame([], PACKED)
+    items = written(pieces_of(docs, kinds, doc_id=doc_id, text=text), "pack_items")
     counts = items.groupBy("pack_id", "capacity", "tokens").count().collect()
     by_pack: dict[tuple, dict[int, int]] = defaultdict(dict)
     for r in counts:
