@@ -21,50 +21,126 @@ FAN_IN = 8
 _CF = "part int, n double, ss double, ls array<double>"
 
 
+class _Node:
+    """Entries of one node: sizes, sums of squares and vector sums, and the child of each (none in a leaf)."""
+
+    def __init__(self, width: int, dims: int, leaf: bool):
+        self.n, self.ss, self.ls = np.zeros(width), np.zeros(width), np.zeros((width, dims))
+        self.centre = np.zeros((width, dims))
+        self.kids: list[_Node] | None = None if leaf else []
+        self.size = 0
+
+    def put(self, i: int, n: float, ss: float, ls: np.ndarray) -> None:
+        self.n[i], self.ss[i], self.ls[i], self.centre[i] = n, ss, ls, ls / n
+
+    def append(self, n: float, ss: float, ls: np.ndarray, kid: _Node | None) -> None:
+        self.put(self.size, n, ss, ls)
+        self.size += 1
+        if self.kids is not None:
+            self.kids.append(kid)
+
+    def total(self) -> tuple[float, float, np.ndarray]:
+        k = self.size
+        return self.n[:k].sum(), self.ss[:k].sum(), self.ls[:k].sum(0)
+
+
 class FeatureTree:
-    """Clustering features under a growing radius: a vector joins the nearest feature of its cell, if the radius stays under the threshold.
+    """A clustering-feature tree of at most `most` leaf entries.
 
-    When there are more than `most` features the threshold grows and the features are put in again, as in a rebuilt CF
-    tree. The levels of the tree are grids: a vector looks only at the features of its own coarse cell.
+    A feature goes down to the leaf whose centres are nearest at each level, and joins the nearest entry there if that entry's radius
+    stays within the threshold; else it becomes an entry of its own. A full node is split around its two entries farthest apart. When
+    there are more than `most` entries the threshold grows and the entries are put into a new tree.
     """
 
+    WIDTH = 32
+
     def __init__(self, most: int, threshold: float = 0.0):
-        self.most, self.threshold = most, threshold
-        self.n = np.zeros(0)
-        self.ss = np.zeros(0)
-        self.ls = np.zeros((0, 0))
+        self.most, self.threshold, self.entries, self.root = most, threshold, 0, None
 
     def add(self, n: np.ndarray, ss: np.ndarray, ls: np.ndarray) -> None:
+        """Puts features in; equal vectors of a batch are joined first."""
         if not len(n):
             return
-        self.ls = np.concatenate([self.ls.reshape(-1, ls.shape[1]), ls])
-        self.n, self.ss = np.concatenate([self.n, n]), np.concatenate([self.ss, ss])
-        self._merge(0.0)  # equal vectors
-        while len(self.n) > self.most:
-            spread = np.sqrt(np.maximum(0, (self.ss.sum() - (self.ls.sum(0) ** 2).sum() / self.n.sum()) / self.n.sum()))
-            self.threshold = max(self.threshold * 1.25, 0.01 * float(spread), 1e-9)
-            self._merge(self.threshold)
-
-    def _merge(self, threshold: float) -> None:
-        centre = self.ls / self.n[:, None]
-        if threshold:
-            cells = np.floor(centre / threshold + 0.5).astype(np.int64)
-        else:
-            cells = centre
-        _, owner = np.unique(cells, axis=0, return_inverse=True)
+        _, owner = np.unique(ls / n[:, None], axis=0, return_inverse=True)
         owner = owner.ravel()
-        if threshold:  # a feature that would make its cell's radius too large stays alone
-            n, ss, ls = self._sums(owner)
-            radius = np.sqrt(np.maximum(0, ss / n - (ls**2).sum(1) / n**2))
-            alone = radius[owner] > threshold
-            owner = np.where(alone, owner.max() + 1 + np.arange(len(owner)), owner)
-            _, owner = np.unique(owner, return_inverse=True)
-        self.n, self.ss, self.ls = self._sums(owner)
-
-    def _sums(self, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         k = owner.max() + 1
-        ls = np.stack([np.bincount(owner, self.ls[:, d], k) for d in range(self.ls.shape[1])], axis=1)
-        return np.bincount(owner, self.n, k), np.bincount(owner, self.ss, k), ls
+        sums = np.stack([np.bincount(owner, ls[:, d], k) for d in range(ls.shape[1])], axis=1)
+        for feature in zip(np.bincount(owner, n, k), np.bincount(owner, ss, k), sums):
+            self._insert(*feature)
+            if self.entries > self.most:
+                self._rebuild()
+
+    def features(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sizes, sums of squares and vector sums of the leaf entries."""
+        leaves = []
+        todo = [self.root] if self.root else []
+        while todo:
+            node = todo.pop()
+            if node.kids is None:
+                leaves.append(node)
+            else:
+                todo += node.kids
+        if not leaves:
+            return np.zeros(0), np.zeros(0), np.zeros((0, 0))
+        return tuple(np.concatenate([getattr(x, c)[: x.size] for x in leaves]) for c in ("n", "ss", "ls"))
+
+    def _rebuild(self) -> None:
+        while self.entries > self.most:
+            n, ss, ls = self.features()
+            if not self.threshold:
+                spread = np.sqrt(max(0.0, (ss.sum() - (ls.sum(0) ** 2).sum() / n.sum()) / n.sum()))
+                self.threshold = 0.01 * float(spread) or 1e-9
+            else:
+                self.threshold *= 1.5
+            self.entries, self.root = 0, None
+            for feature in zip(n, ss, ls):
+                self._insert(*feature)
+
+    def _insert(self, n: float, ss: float, ls: np.ndarray) -> None:
+        if self.root is None:
+            self.root = _Node(self.WIDTH + 1, len(ls), True)
+        path, node, centre = [], self.root, ls / n
+        while True:
+            apart = node.centre[: node.size] - centre
+            i = int(np.einsum("ij,ij->i", apart, apart).argmin()) if node.size else -1
+            if node.kids is None:
+                break
+            path.append((node, i))
+            node = node.kids[i]
+        joined = False
+        if i >= 0:
+            total, squares, sums = node.n[i] + n, node.ss[i] + ss, node.ls[i] + ls
+            if squares / total - (sums @ sums) / total**2 <= self.threshold**2 + 1e-12 * squares / total:
+                node.put(i, total, squares, sums)
+                joined = True
+        if not joined:
+            node.append(n, ss, ls, None)
+            self.entries += 1
+        for parent, i in reversed(path):
+            parent.put(i, parent.n[i] + n, parent.ss[i] + ss, parent.ls[i] + ls)
+        while node.size > self.WIDTH:
+            left, right = self._split(node)
+            if not path:
+                self.root = _Node(self.WIDTH + 1, len(ls), False)
+                for half in (left, right):
+                    self.root.append(*half.total(), half)
+                break
+            node, i = path.pop()
+            node.put(i, *left.total())
+            node.kids[i] = left
+            node.append(*right.total(), right)
+
+    def _split(self, node: _Node) -> tuple[_Node, _Node]:
+        c = node.centre[: node.size]
+        square = (c**2).sum(1)
+        apart = square[:, None] + square[None, :] - 2 * c @ c.T
+        a, b = np.unravel_index(int(apart.argmax()), apart.shape)
+        near_a = apart[:, a] <= apart[:, b]
+        near_a[b], near_a[a] = False, True
+        halves = _Node(len(node.n), c.shape[1], node.kids is None), _Node(len(node.n), c.shape[1], node.kids is None)
+        for i in range(node.size):
+            halves[0 if near_a[i] else 1].append(node.n[i], node.ss[i], node.ls[i], node.kids[i] if node.kids is not None else None)
+        return halves
 
 
 def ward(n: np.ndarray, ls: np.ndarray, k: int) -> np.ndarray:
@@ -144,7 +220,8 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _features(tree: FeatureTree, part: int) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([part] * len(tree.n), pa.int32()), pa.array(tree.n), pa.array(tree.ss), pa.array(tree.ls.tolist(), pa.list_(pa.float64()))], names=["part", "n", "ss", "ls"])
+    n, ss, ls = tree.features()
+    return pa.RecordBatch.from_arrays([pa.array([part] * len(n), pa.int32()), pa.array(n), pa.array(ss), pa.array(ls.tolist(), pa.list_(pa.float64()))], names=["part", "n", "ss", "ls"])
 
 
 def summarise(points: DataFrame, entries: int) -> tuple[np.ndarray, np.ndarray]:
@@ -157,7 +234,7 @@ def summarise(points: DataFrame, entries: int) -> tuple[np.ndarray, np.ndarray]:
             if b.num_rows:
                 x = _matrix(b.column(0))
                 tree.add(np.ones(len(x)), (x**2).sum(1), x)
-        if len(tree.n):
+        if tree.root:
             yield _features(tree, TaskContext.get().partitionId())
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,7 +243,7 @@ def summarise(points: DataFrame, entries: int) -> tuple[np.ndarray, np.ndarray]:
             if b.num_rows:
                 part = b.column("part")[0].as_py()
                 tree.add(b.column("n").to_numpy(), b.column("ss").to_numpy(), _matrix(b.column("ls")))
-        if len(tree.n):
+        if tree.root:
             yield _features(tree, part)
 
     level = written(points.select("x").mapInArrow(leaf, _CF), "features")
@@ -179,7 +256,8 @@ def summarise(points: DataFrame, entries: int) -> tuple[np.ndarray, np.ndarray]:
     rows = level.toArrow()  # at most FAN_IN * entries features
     if rows.num_rows:
         tree.add(rows.column("n").to_numpy(), rows.column("ss").to_numpy(), _matrix(rows.column("ls").combine_chunks()))
-    return tree.n, tree.ls
+    n, _, ls = tree.features()
+    return n, ls
 
 
 def varied_subset(manifest: DataFrame, size: int, *, entries: int | None = None, family_weight: float = 1.0) -> DataFrame:
@@ -191,7 +269,7 @@ def varied_subset(manifest: DataFrame, size: int, *, entries: int | None = None,
     are one record; if there are fewer distinct vectors than `size`, one record for each is returned; size 0 or an
     empty table gives no rows.
 
-    entries (by default 4 * size, 1,000 at least) bounds every summary; the centres sent to the executors are `size` vectors of eleven numbers.
+    entries (by default 4 * size, but 1,000 at least and size + 10,000 at most) bounds every summary; the centres sent to the executors are `size` vectors of eleven numbers.
     """
     spark = manifest.sparkSession
     schema = "group_no int, part_id string, distance double, group_records long"
@@ -199,7 +277,7 @@ def varied_subset(manifest: DataFrame, size: int, *, entries: int | None = None,
     if size <= 0 or vectors.isEmpty():
         return spark.createDataFrame([], schema)
     points = _standardised(vectors, family_weight)
-    n, ls = summarise(points, entries or max(1000, 4 * size))
+    n, ls = summarise(points, entries or max(1000, min(4 * size, size + 10_000)))
     group = ward(n, ls, size)
     k = group.max() + 1
     count = np.bincount(group, n, k)

@@ -37,8 +37,26 @@ def test_features_keep_sums_and_bounds():
     tree = FeatureTree(50)
     for part in np.array_split(x, 7):
         tree.add(np.ones(len(part)), (part**2).sum(1), part)
-        assert len(tree.n) <= 50
-    assert tree.n.sum() == len(x) and np.allclose(tree.ls.sum(0), x.sum(0)) and np.isclose(tree.ss.sum(), (x**2).sum())
+        assert len(tree.features()[0]) == tree.entries <= 50
+    n, ss, ls = tree.features()
+    assert n.sum() == len(x) and np.allclose(ls.sum(0), x.sum(0)) and np.isclose(ss.sum(), (x**2).sum())
+    assert (ss / n - ((ls / n[:, None]) ** 2).sum(1) <= tree.threshold**2 + 1e-9).all()
+
+
+def test_summaries_of_nodes_are_those_of_their_leaves():
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(4000, 3))
+    tree = FeatureTree(5000)
+    tree.add(np.ones(4000), (x**2).sum(1), x)
+    levels = [tree.root]
+    while levels:
+        node = levels.pop()
+        assert 0 < node.size <= FeatureTree.WIDTH
+        for i, kid in enumerate(node.kids or []):
+            n, ss, ls = kid.total()
+            assert np.isclose(node.n[i], n) and np.isclose(node.ss[i], ss) and np.allclose(node.ls[i], ls)
+            levels.append(kid)
+    assert tree.entries == 4000 == tree.root.total()[0]
 
 
 def corpus(rng, sizes):
