@@ -19,6 +19,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gneiss.session import written
+
 WORD = re.compile(r"[^\W_]+")
 _FORMAT: list[re.Pattern] = []
 HITS = "item_id long, doc_id long, run_words int, similarity double, hamming int, doc_word int, item_word int"
@@ -119,7 +121,7 @@ def shingle_similarity(a: list, b: list, weight: dict, size: int = 5) -> float:
     return total(x & y) / total(x | y) if x or y else 0.0
 
 
-def leaked_windows(items: DataFrame, docs: DataFrame, *, window: int = 12, radius: int = 3, threshold: float = 0.8, exact: bool = False, item_id: str = "item_id", passage: str = "passage", doc_id: str = "doc_id", text: str = "text", index_mb: int = 256) -> DataFrame:
+def leaked_windows(items: DataFrame, docs: DataFrame, *, window: int = 12, radius: int = 3, threshold: float = 0.8, exact: bool = False, item_id: str = "item_id", passage: str = "passage", doc_id: str = "doc_id", text: str = "text", index_mb: float = 256) -> DataFrame:
     """The best match of each item and document that share a window: columns item_id, doc_id, run_words, similarity, hamming, doc_word, item_word.
 
     Two windows match if their SimHashes differ in at most `radius` bits and their weighted five-word shingles are similar
@@ -134,13 +136,15 @@ def leaked_windows(items: DataFrame, docs: DataFrame, *, window: int = 12, radiu
     """
     spark = docs.sparkSession
     queries = items.select(F.col(item_id).cast("long").alias("item_id"), F.col(passage).alias("passage")).dropna()
-    size = queries.agg(F.sum(F.length("passage")).alias("n")).first()["n"] or 0
-    blocks = max(1, -(-size * 60 // (index_mb << 20)))  # an item's windows take less than 60 bytes a character
+    size = queries.agg(F.sum(F.length("passage")).alias("n"), F.count("*").alias("items")).first()
+    blocks = max(1, -(-(size["n"] or 0) * 60 // max(1, int(index_mb * (1 << 20)))))  # an item's windows take less than 60 bytes a character
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    held = written(_word_counts(queries), "item_words") if blocks > 1 else None
     parts = []
     for b in range(blocks):
-        rows = queries.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).collect()
-        parts.append(texts.mapInArrow(_matcher(spark, rows, window, radius, threshold, exact), HITS))
+        block = queries.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b)
+        counts = {r.w: r.n for r in held.join(_word_counts(block).select("w"), "w", "left_semi").collect()} if blocks > 1 else None
+        parts.append(texts.mapInArrow(_matcher(spark, block.collect(), window, radius, threshold, exact, counts, size["items"]), HITS))
     found = parts[0]
     for x in parts[1:]:
         found = found.unionByName(x)
@@ -148,18 +152,31 @@ def leaked_windows(items: DataFrame, docs: DataFrame, *, window: int = 12, radiu
     return found.groupBy("item_id", "doc_id").agg(best.alias("m")).select("item_id", "doc_id", *(f"m.{c}" for c in ("run_words", "similarity", "hamming", "doc_word", "item_word")))
 
 
-def _matcher(spark, rows: list, window: int, radius: int, threshold: float, exact: bool):
+def _word_counts(queries: DataFrame) -> DataFrame:
+    """(w, n): how many items hold each word, by the word's number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = _Words()
+        for batch in batches:
+            found = [w for x in batch.column("passage").to_pylist() for w in set(words.ids(words_of(x)).view(np.int64).tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], names=["w"])
+
+    return queries.mapInArrow(run, "w long").groupBy("w").agg(F.count("*").alias("n"))
+
+
+def _matcher(spark, rows: list, window: int, radius: int, threshold: float, exact: bool, counts: dict | None, items: int):
+    """The function that matches batches of texts with these items; counts has the items that hold each word, None if these are all items."""
     words, ids, prints, owner, place, df = _Words(), [], [], [], [], {}
     for r in rows:
         x = words.ids(words_of(r.passage))
         ids.append((r.item_id, x))
         for w in set(x.tolist()):
-            df[w] = df.get(w, 0) + 1
+            df[w] = df.get(w, 0) + 1 if counts is None else counts[w - (w >> 63 << 64)]
         if len(x) >= window:
             prints.append(simhash_windows(x, window))
             owner.append(np.full(len(prints[-1]), len(ids) - 1))
             place.append(np.arange(len(prints[-1])))
-    weight = {w: 1 + float(np.log(len(ids) / n)) for w, n in df.items()}
+    weight = {w: 1 + float(np.log(items / n)) for w, n in df.items()}
     cat = lambda x, t: np.concatenate(x) if x else np.zeros(0, t)
     shared = spark.sparkContext.broadcast((ids, cat(prints, np.uint64), cat(owner, np.int64), cat(place, np.int64), weight))
 
