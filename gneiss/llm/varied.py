@@ -49,13 +49,17 @@ class FeatureTree:
 
     A feature goes down to the leaf whose centres are nearest at each level, and joins the nearest entry there if that entry's radius
     stays within the threshold; else it becomes an entry of its own. A full node is split around its two entries farthest apart. When
-    there are more than `most` entries the threshold grows and the entries are put into a new tree.
+    there are more than `most` entries the threshold grows and the entries are put into a new tree, of `least` entries at least: the
+    threshold follows the nearest entries, and is taken back if too many would join.
     """
 
     WIDTH = 32
+    #: Thresholds tried between one that joins too few and one that joins too many.
+    TRIES = 8
 
-    def __init__(self, most: int, threshold: float = 0.0):
+    def __init__(self, most: int, threshold: float = 0.0, least: int = 1):
         self.most, self.threshold, self.entries, self.root = most, threshold, 0, None
+        self.least = min(least, most)
 
     def add(self, n: np.ndarray, ss: np.ndarray, ls: np.ndarray) -> None:
         """Puts features in; equal vectors of a batch are joined first."""
@@ -70,8 +74,7 @@ class FeatureTree:
             if self.entries > self.most:
                 self._rebuild()
 
-    def features(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Sizes, sums of squares and vector sums of the leaf entries."""
+    def _leaves(self) -> list[_Node]:
         leaves = []
         todo = [self.root] if self.root else []
         while todo:
@@ -80,23 +83,56 @@ class FeatureTree:
                 leaves.append(node)
             else:
                 todo += node.kids
+        return leaves
+
+    def features(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sizes, sums of squares and vector sums of the leaf entries."""
+        leaves = self._leaves()
         if not leaves:
             return np.zeros(0), np.zeros(0), np.zeros((0, 0))
         return tuple(np.concatenate([getattr(x, c)[: x.size] for x in leaves]) for c in ("n", "ss", "ls"))
 
+    def _near(self) -> float:
+        """The radius within which so many entries meet their nearest in the leaf as have to go, to be midway between `least` and `most`."""
+        found = []
+        for leaf in self._leaves():
+            if leaf.size > 1:
+                n, ss, ls, c = (x[: leaf.size] for x in (leaf.n, leaf.ss, leaf.ls, leaf.centre))
+                square = (c**2).sum(1)
+                apart = square[:, None] + square[None, :] - 2 * c @ c.T
+                np.fill_diagonal(apart, np.inf)
+                j = apart.argmin(1)
+                total = n + n[j]
+                found.append((ss + ss[j]) / total - ((ls + ls[j]) ** 2).sum(1) / total**2)
+        radii = np.sqrt(np.maximum(0, np.concatenate(found))) if found else np.zeros(1)
+        return float(np.quantile(radii, (self.most - self.least) / (2 * self.most)))
+
     def _rebuild(self) -> None:
-        while self.entries > self.most:
-            n, ss, ls = self.features()
-            if not self.threshold:
-                spread = np.sqrt(max(0.0, (ss.sum() - (ls.sum(0) ** 2).sum() / n.sum()) / n.sum()))
-                self.threshold = 0.01 * float(spread) or 1e-9
+        kept, low, high, tries = self.features(), self.threshold, np.inf, self.TRIES
+        while True:
+            if high == np.inf:
+                self.threshold = max(1.1 * low, self._near()) or 1e-9
+            else:
+                self.threshold, tries = (low + high) / 2 if tries else high, tries - 1
+            spare = self._refill(kept)
+            if self.entries > self.most:
+                low = self.threshold
+                if high == np.inf:
+                    kept = self.features()
+            elif spare or tries < 0:
+                return
             else:
-                self.threshold *= 1.5
-            self.entries, self.root = 0, None
-            for feature in zip(n, ss, ls):
-                self._insert(*feature)
+                high = self.threshold
 
-    def _insert(self, n: float, ss: float, ls: np.ndarray) -> None:
+    def _refill(self, kept: tuple[np.ndarray, np.ndarray, np.ndarray]) -> int:
+        """Puts features into a new tree with at most len - least joins; joins left over."""
+        self.entries, self.root = 0, None
+        spare = len(kept[0]) - self.least
+        for i, feature in enumerate(zip(*kept)):
+            self._insert(*feature, join=i - self.entries < spare)
+        return spare - (len(kept[0]) - self.entries)
+
+    def _insert(self, n: float, ss: float, ls: np.ndarray, join: bool = True) -> None:
         if self.root is None:
             self.root = _Node(self.WIDTH + 1, len(ls), True)
         path, node, centre = [], self.root, ls / n
@@ -108,7 +144,7 @@ class FeatureTree:
             path.append((node, i))
             node = node.kids[i]
         joined = False
-        if i >= 0:
+        if i >= 0 and join:
             total, squares, sums = node.n[i] + n, node.ss[i] + ss, node.ls[i] + ls
             if squares / total - (sums @ sums) / total**2 <= self.threshold**2 + 1e-12 * squares / total:
                 node.put(i, total, squares, sums)
@@ -224,12 +260,12 @@ def _features(tree: FeatureTree, part: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([part] * len(n), pa.int32()), pa.array(n), pa.array(ss), pa.array(ls.tolist(), pa.list_(pa.float64()))], names=["part", "n", "ss", "ls"])
 
 
-def summarise(points: DataFrame, entries: int) -> tuple[np.ndarray, np.ndarray]:
-    """(records, vector sums) of at most `entries` clustering features over all points (id, x)."""
+def summarise(points: DataFrame, entries: int, least: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """(records, vector sums) of at most `entries` clustering features over all points (id, x); no summary is joined down to fewer than `least`."""
     from pyspark import TaskContext
 
     def leaf(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = FeatureTree(entries)
+        tree = FeatureTree(entries, least=least)
         for b in batches:
             if b.num_rows:
                 x = _matrix(b.column(0))
@@ -238,7 +274,7 @@ def summarise(points: DataFrame, entries: int) -> tuple[np.ndarray, np.ndarray]:
             yield _features(tree, TaskContext.get().partitionId())
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, part = FeatureTree(entries), 0
+        tree, part = FeatureTree(entries, least=least), 0
         for b in batches:
             if b.num_rows:
                 part = b.column("part")[0].as_py()
@@ -252,7 +288,7 @@ def summarise(points: DataFrame, entries: int) -> tuple[np.ndarray, np.ndarray]:
         parts //= FAN_IN
         groups = level.withColumn("part", (F.col("part") / FAN_IN).cast("int"))
         level = written(groups.repartitionById(parts + 1, "part").mapInArrow(merge, _CF), "features")
-    tree = FeatureTree(entries)
+    tree = FeatureTree(entries, least=least)
     rows = level.toArrow()  # at most FAN_IN * entries features
     if rows.num_rows:
         tree.add(rows.column("n").to_numpy(), rows.column("ss").to_numpy(), _matrix(rows.column("ls").combine_chunks()))
@@ -265,7 +301,7 @@ def varied_subset(manifest: DataFrame, size: int, *, entries: int | None = None,
 
     One record per group: of the records that lie nearer to its centre than to any other, the nearest (ties fall to the smaller part_id). Groups
     of which no record does so then take, in turn, the nearest records that are left, so that the subset has its full size. group_records counts the
-    records summed up in the group. Records without a usable signature have no place among the shapes and are left out; repeated rows
+    records summed up in the group; a record added because there are fewer groups than `size` has 0, being counted in another. Records without a usable signature have no place among the shapes and are left out; repeated rows
     are one record; if there are fewer distinct vectors than `size`, one record for each is returned; size 0 or an
     empty table gives no rows.
 
@@ -277,9 +313,9 @@ def varied_subset(manifest: DataFrame, size: int, *, entries: int | None = None,
     if size <= 0 or vectors.isEmpty():
         return spark.createDataFrame([], schema)
     points = _standardised(vectors, family_weight)
-    n, ls = summarise(points, entries or max(1000, min(4 * size, size + 10_000)))
+    n, ls = summarise(points, entries or max(1000, min(4 * size, size + 10_000)), size)
     group = ward(n, ls, size)
-    k = group.max() + 1
+    k = int(group.max()) + 1
     count = np.bincount(group, n, k)
     centres = np.stack([np.bincount(group, ls[:, d], k) for d in range(ls.shape[1])], axis=1) / count[:, None]
     picked: dict[int, tuple[str, float]] = {}
@@ -294,10 +330,37 @@ def varied_subset(manifest: DataFrame, size: int, *, entries: int | None = None,
             break
         picked |= {c: (name, distance) for name, (distance, c) in won.items()}
         first = False
+    # Vectors that agree but for rounding are one entry, so there may be fewer groups than vectors.
+    for name, distance in _others(points, centres, [name for name, _ in picked.values()], size - len(picked)):
+        picked[k] = (name, distance)
+        count = np.append(count, 0)
+        k += 1
     rows = [(c, name, distance, int(round(count[c]))) for c, (name, distance) in sorted(picked.items())]
     return spark.createDataFrame(rows, schema)
 
 
+def _others(points: DataFrame, centres: np.ndarray, taken: list[str], wanted: int) -> list[tuple[str, float]]:
+    """(id, distance to the nearest centre) of up to `wanted` records whose vectors no taken record has, one for each vector, those farthest from all centres first."""
+    if wanted <= 0:
+        return []
+    names = points.sparkSession.createDataFrame([(n,) for n in taken], "id string")
+    used = points.join(names, "id", "left_semi").select("x")
+    left = points.groupBy("x").agg(F.min("id").alias("id")).join(used, "x", "left_anti")
+    shared = points.sparkSession.sparkContext.broadcast(centres)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centres = shared.value
+        square = (centres**2).sum(1)
+        for b in batches:
+            for at in range(0, b.num_rows, step := max(1, (1 << 22) // len(centres))):
+                x = _matrix(b.column(1).slice(at, step))
+                d = np.maximum(0, square[None, :] - 2 * x @ centres.T + (x**2).sum(1)[:, None]).min(1)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, step), pa.array(np.sqrt(d))], names=["id", "distance"])
+
+    far = left.select("id", "x").mapInArrow(run, "id string, distance double")
+    return [(r.id, r.distance) for r in far.orderBy(F.desc("distance"), "id").limit(wanted).collect()]
+
+
 def _nearest(points: DataFrame, centres: np.ndarray, own: bool, taken: set[str]) -> list[tuple[int, float, str]]:
     """(centre, distance, id) of the record nearest each centre that is not taken; with own, among those that have no nearer centre."""
     shared = points.sparkSession.sparkContext.broadcast((centres, taken))

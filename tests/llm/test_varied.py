@@ -80,6 +80,30 @@ def test_large_groups_are_not_over_represented(spark, entries):
     assert sorted(r.group_records for r in got) == sorted(sizes) and len({r.part_id for r in got}) == 10
 
 
+@pytest.mark.parametrize("entries,size", [(None, 15), (60, 40), (20, 30)])
+def test_crowds_do_not_cut_the_subset_short(spark, entries, size):
+    rows = corpus(np.random.default_rng(2), [900, 5, 5, 200, 5, 5, 5, 5, 60, 5])
+    got = varied_subset(spark.createDataFrame(rows, MANIFEST).repartition(5), size, entries=entries).collect()
+    assert len(got) == len({r.part_id for r in got}) == size and sum(r.group_records for r in got) == len(rows)
+    assert {r.part_id.split("_")[0] for r in got} == {f"g{i}" for i in range(10)}
+
+
+def test_vectors_that_differ_by_rounding_fill_the_subset(spark):
+    rows = [(str(i), "f", None, (2.0 + 1e-12 * i, 3.0, [1.0, 2.0, 3.0]), 1, "") for i in range(6)] + [("z", "f", None, (9.0, 3.0, [1.0, 2.0, 3.0]), 1, "")]
+    df = spark.createDataFrame(rows + rows[:3], MANIFEST)
+    assert len({r.part_id for r in varied_subset(df, 5).collect()}) == 5 and varied_subset(df, 20).count() == 7
+
+
+@pytest.mark.parametrize("most,least", [(50, 50), (60, 45), (200, 10), (2, 2)])
+def test_rebuilds_keep_the_least_number_of_entries(most, least):
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(size=(600, 4)) * 1e-4, np.ones((100, 4)), rng.normal(size=(20, 4)), np.eye(4)])
+    rng.shuffle(x)
+    tree = FeatureTree(most, least=least)
+    tree.add(np.ones(len(x)), (x**2).sum(1), x)
+    assert least <= tree.entries == len(tree.features()[0]) <= most and tree.features()[0].sum() == len(x)
+
+
 def test_fewer_records_than_wanted_ties_and_nothing(spark):
     same = (2.0, 3.0, [1.0, 2.0, 3.0])
     df = spark.createDataFrame([("b", "f", None, same, 1, ""), ("a", "f", None, same, 1, ""), ("c", "f", None, (9.0, 3.0, [3.0, 2.0, 1.0]), 1, "")], MANIFEST)
