@@ -52,6 +52,52 @@ def test_statements(spark, o, text):
     assert f"\n    {text}\n" in emit(spark, o)
 
 
+def sources(spark, *ops):
+    """The source of a part of each operation alone."""
+    df = spark.createDataFrame([(str(i), PARAMS, [o]) for i, o in enumerate(ops)], f"part_id string, params_spec {SPEC}, operations array<{OP_TYPE}>")
+    got = {r.part_id: r.source for r in emitted(df.coalesce(1), F.lit("#")).collect()}
+    return [got[str(i)] for i in range(len(ops))]
+
+
+def whole(*lines):
+    return "\n".join("    " + x for x in lines)
+
+
+TOP, BOX_CENTRE = "    result.faces('>Z').workplane()", ".workplane(centerOption='CenterOfBoundBox')"
+
+
+WHOLE = [
+    (op("boss", {"face": "<Z"}, diameter=lit(9), height=lit(4), bore_d=ref("w")), ["result = (", "    result.faces('<Z').workplane()", "    .circle(9.0 / 2).extrude(4.0)", ")", "result = (", TOP, '    .hole(p["w"])', ")"]),
+    (op("holes", {"shape": "square"}, diameter=ref("w"), tilt=lit(15)), ["result = (", TOP + ".transformed(rotate=(15.0, 0, 0))", "    .rect(20, 20, forConstruction=True)", '    .vertices().rect(p["w"], p["w"]).cutThruAll()', ")"]),
+    (op("holes", {"shape": "slot", "placement": "grid"}, diameter=lit(5), slot_len=lit(12)), ["result = (", TOP, "    .rarray(10, 10, 2, 2)", "    .slot2D(12.0, 5.0).cutThruAll()", ")"]),
+    (op("holes", {"shape": "slot"}, diameter=times("w", 0.5)), ["result = (", TOP, "    .rect(20, 20, forConstruction=True)", '    .vertices().slot2D((p["w"] * 0.5) * 2, p["w"] * 0.5).cutThruAll()', ")"]),
+    (op("holes", {"shape": "square", "placement": "bolt_circle"}, diameter=lit(5), nx=lit(3), tilt=lit(3)), ["result = (", TOP + ".transformed(rotate=(3.0, 0, 0))", "    .polarArray(15, 0, 360, 4)", "    .hole(5.0)", ")"]),
+    (op("holes", {"placement": "staggered"}, diameter=lit(5), nx=ref("n")), ["_snx = max(2, int(p[\"n\"]))", "_ssx = 10", "_ssy = 10", "_spts = (", "    [(-_ssx * (_snx - 1) / 2 + _ssx * _i, -_ssy / 2) for _i in range(_snx)]", "    + [(-_ssx * (_snx - 2) / 2 + _ssx * _i, _ssy / 2) for _i in range(_snx - 1)]", ")", "result = (", TOP, "    .pushPoints(_spts)", "    .hole(5.0)", ")"]),
+    (op("revolve", outer_d=lit(50), height=ref("w"), chamfer_d=lit(1), flange_d=lit(70)), ["result = (", "    cq.Workplane('XZ')", "    .moveTo(0, 0)", "    .lineTo(50.0 / 2, 0)", '    .lineTo(50.0 / 2, p["w"])', "    .close()", "    .revolve()", ")"]),
+    (op("revolve", outer_d=lit(50), height=lit(20), inner_d=lit(8), flange_d=lit(70), flange_h=lit(4), groove_depth=lit(2), groove_w=lit(3), groove_pos=lit(9)), ["result = (", "    cq.Workplane('XZ')", "    .moveTo(8.0 / 2, 0)", "    .lineTo(70.0 / 2, 0)", "    .lineTo(70.0 / 2, 4.0)", "    .lineTo(50.0 / 2, 4.0)", "    .lineTo(50.0 / 2, 9.0 - 3.0 / 2)", "    .lineTo(50.0 / 2 - 2.0, 9.0 - 3.0 / 2)", "    .lineTo(50.0 / 2 - 2.0, 9.0 + 3.0 / 2)", "    .lineTo(50.0 / 2, 9.0 + 3.0 / 2)", "    .lineTo(50.0 / 2, 20.0)", "    .lineTo(8.0 / 2, 20.0)", "    .close()", "    .revolve()", ")"]),
+    (op("ribs", count=ref("n"), rib_height=lit(3), rib_thickness=lit(2), span=lit(40)), ['_rib_spacing = (40.0 / (p["n"] - 1)) if p["n"] > 1 else 0', "result = (", TOP, '    .rarray(_rib_spacing, 1, p["n"], 1)', "    .rect(2.0, 40.0).extrude(3.0)", ")"]),
+    (op("attach", profile=profile("circle", diameter=lit(8)), length=lit(5), bore_d=lit(3)), ["result = (", "    result.faces('>X')" + BOX_CENTRE, "    .circle(8.0 / 2).extrude(5.0)", ")", "result = (", "    result.faces('>X')" + BOX_CENTRE, "    .hole(3.0)", ")"]),
+]
+
+
+def test_all_fields_of_an_operation_are_in_its_text(spark):
+    for text, (_, lines) in zip(sources(spark, *(o for o, _ in WHOLE)), WHOLE, strict=True):
+        ast.parse(text)
+        assert text[text.index("def build(p):\n\n") + 15 :].startswith(whole(*lines) + "\n    return result\n")
+
+
+def test_a_field_without_place_in_the_text_leaves_none(spark):
+    bad = ("odd",) + lit(1)[1:]
+    circle = profile("circle", diameter=lit(8))
+    none = [
+        op("box", width=lit(1), depth=lit(1), height=lit(1), bore_d=lit(1)), op("box", {"plane": "YZ"}, width=lit(1), depth=lit(1), height=lit(1)), op("box", profile=circle, width=lit(1), depth=lit(1), height=lit(1)),
+        op("box", stations=[circle], width=lit(1), depth=lit(1), height=lit(1)), op("counterbore", {"shape": "square"}, diameter=lit(5), cb_diameter=lit(9), cb_depth=lit(3)), op("holes", {"shape": "star"}, diameter=lit(5)),
+        op("extrude", profile=profile("circle", diameter=lit(8), taper=lit(1)), distance=lit(5)), op("extrude", profile=circle, distance=lit(5), taper=bad), op("extrude", profile=profile("sketched", ("w", "n", [("start", 0.0, 0.0), ("arc", 0.5, 1.0)])), distance=lit(5)),
+    ]
+    *got, last = sources(spark, *none, op("box", width=lit(1), depth=lit(1), height=lit(1), bore_d=None))
+    assert got == [None] * len(none) and last is not None
+
+
 def test_unknown_operations_have_no_source(spark):
     assert emit(spark, op("box", width=lit(1), depth=lit(1), height=lit(1)), op("gear")) is None and emit(spark, op("box", width=lit(1))) is None
 
