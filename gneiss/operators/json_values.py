@@ -19,6 +19,14 @@ def _number(text: str) -> float | int:
     return int(x) if x.is_integer() else x
 
 
+def _integer(text: str) -> int | list:
+    """The number; one of more digits than Python takes stays text, beside a NaN, which no JSON value holds."""
+    try:
+        return int(text)
+    except ValueError:
+        return [float("nan"), text]
+
+
 def json_key(data: bytes | None) -> bytes | None:
     """16 bytes that two texts share if they are the same JSON value; None if data is null or not valid JSON.
 
@@ -28,7 +36,7 @@ def json_key(data: bytes | None) -> bytes | None:
     if data is None:
         return None
     try:
-        value = json.loads(data.decode("utf-8"), parse_constant=_no_constant, parse_float=_number)
+        value = json.loads(data.decode("utf-8"), parse_constant=_no_constant, parse_float=_number, parse_int=_integer)
         return xxhash.xxh3_128_digest(json.dumps(value, sort_keys=True))
     except RecursionError:
         return xxhash.xxh3_128_digest(data.strip())

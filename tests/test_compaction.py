@@ -124,3 +124,10 @@ def test_deep_and_long_values(spark):
     assert json_key(deep) == json_key(deep + b" ") and json_key(long) == json_key(b" " + long)
     df = spark.createDataFrame([(1, b"{}"), (2, None), (3, b"oops")], "file_id long, payload binary")
     assert [r.file_id for r in json_keys(df).collect()] == [1]
+
+
+def test_long_integers_are_json():
+    digits = b"7" * 5000
+    key = json_key(b'{"b": 1, "a": ' + digits + b"}")
+    assert key is not None and key == json_key(b'{"a":' + digits + b',"b":1.0}')
+    assert len({key, json_key(b'{"a":-' + digits + b',"b":1}'), json_key(b'{"a":"' + digits + b'","b":1}'), json_key(b'{"a":' + digits + b'7,"b":1}')}) == 4
