@@ -24,8 +24,18 @@ def _sample(spark: SparkSession, sf_dir: str):
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Categories that the manifest cannot fill, from the report of the samples drawn."""
-    return _sample(spark, sf_dir).report.where("unfillable").select("plan_id", "category_id")
+    """Categories that the samples drawn leave short because the manifest cannot fill them."""
+    return _sample(spark, sf_dir).report.where("gap > 0 and cause = 'manifest'").select("plan_id", "category_id")
+
+
+def p1_needs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each target needs and what the manifest has, as reported beside the sample."""
+    return _sample(spark, sf_dir).report.select("plan_id", "category_id", "need", "available", (F.col("drawn") <= F.col("available")).alias("in_stock"), (F.col("gap") == F.greatest(F.lit(0.0), F.col("need") - F.col("drawn"))).alias("gap_adds_up"))
+
+
+def p1_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records drawn for each plan; a plan without targets draws none."""
+    return _sample(spark, sf_dir).records.groupBy("plan_id").agg(F.count("*").alias("records"), F.countDistinct("part_id").alias("distinct_records"))
 
 
 def p1_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,13 +111,23 @@ def p8_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mixture(spark, sf_dir).groupBy("subject_id").agg(F.count("*").alias("documents"), F.sum("sentences").alias("sentences"), F.round(F.sum("share"), 6).alias("share_sum"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_report": p1_report, "p1_sample": p1_sample, "p2_found": p2_found, "p2_groups": p2_groups, "p3_found": p3_found, "p4_subset": p4_subset, "p6_found": p6_found, "p6_fill": p6_fill, "p7_found": p7_found, "p7_similar": p7_similar, "p8_found": p8_found, "p8_composition": p8_composition}
+QUERIES = {"p1_found": p1_found, "p1_report": p1_report, "p1_needs": p1_needs, "p1_sizes": p1_sizes, "p1_sample": p1_sample, "p2_found": p2_found, "p2_groups": p2_groups, "p3_found": p3_found, "p4_subset": p4_subset, "p6_found": p6_found, "p6_fill": p6_fill, "p7_found": p7_found, "p7_similar": p7_similar, "p8_found": p8_found, "p8_composition": p8_composition}
 SQL: dict[str, str] = {
     "p1_found": r"""
         with m as (select distinct part_id, lower(regexp_replace(family, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g')) f, tier t from manifest)
         select g.plan_id, g.category_id from sample_targets g left join sample_plans s using (plan_id)
         where greatest(coalesce(g.min_rows, 0), coalesce(g.target_share * s.sample_rows, 0)) >
               (select count(distinct part_id) from m where f <> '' and (g.family is null or f = lower(trim(g.family))) and (g.tier is null or t = g.tier))""",
+    "p1_needs": r"""
+        with m as (select distinct part_id, lower(regexp_replace(family, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g')) f, tier t from manifest)
+        select g.plan_id, g.category_id, greatest(coalesce(g.min_rows, 0)::double, coalesce(g.target_share * s.sample_rows, 0)) need,
+               (select count(distinct part_id) from m where f <> '' and (g.family is null or f = lower(trim(g.family))) and (g.tier is null or t = g.tier)) available,
+               true in_stock, true gap_adds_up
+        from sample_targets g left join sample_plans s using (plan_id)""",
+    "p1_sizes": r"""
+        with m as (select count(distinct part_id) n from manifest where part_id is not null and lower(regexp_replace(family, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g')) <> '')
+        select plan_id, least(sample_rows, n) records, least(sample_rows, n) distinct_records from sample_plans, m
+        where plan_id in (select plan_id from sample_targets) and least(sample_rows, n) > 0""",
     "p3_found": """
         with m as (select distinct geometry_signature.volume v, geometry_signature.surface_area a, list_sort(geometry_signature.principal_moments) p,
                    geometry_signature.n_faces f, geometry_signature.n_edges e, geometry_signature.n_vertices n from manifest),

@@ -1,7 +1,8 @@
 """A sample that matches target category proportions.
 
 Iterative proportional fitting (raking) gives each cell of family and tier a weight for which every target margin holds; records are drawn
-by weighted exponential keys; minimums are then repaired, and what is missing is reported. Cells are bounded by
+by weighted exponential keys; minimums are then repaired, and what is missing is reported with its cause. The records returned are those that the
+keys drew, but for the few that the repair moves between cells: a cell gives up its largest keys and adds its next smallest. Cells are bounded by
 the targets (their families and tiers, and one "other" of each), so the raking runs on the driver; records stay distributed.
 """
 
@@ -19,7 +20,7 @@ from gneiss.session import written
 
 OTHER_TIER = -(1 << 31)
 OTHER_FAMILY = "\0other"
-REPORT = "plan_id string, category_id string, family string, tier int, need double, available long, target_share double, drawn long, drawn_share double, gap double, unfillable boolean"
+REPORT = "plan_id string, category_id string, family string, tier int, need double, available long, target_share double, drawn long, drawn_share double, gap double, unfillable boolean, moved long, cause string"
 
 
 def clean_family(c: F.Column) -> F.Column:
@@ -51,6 +52,23 @@ def rake(cells: dict[tuple, int], categories: list[Category], rounds: int = 200,
     total = sum(cells.values())
     if not total:
         return {}
+    names, targets = list(cells), _margins(cells, categories)
+    w = np.array([cells[c] / total for c in names])
+    for _ in range(rounds):
+        before = w.copy()
+        for part in targets:
+            for inside, share in part:
+                now = w[inside].sum()
+                if now > 0:
+                    w[inside] *= share / now
+        if np.abs(w - before).max() < close:
+            break
+    return dict(zip(names, w.tolist()))
+
+
+def _margins(cells: dict[tuple, int], categories: list[Category]) -> list[list[tuple[np.ndarray, float]]]:
+    """The margins that raking works on: per kind of category, which cells belong together and what they should sum to."""
+    total = sum(cells.values())
     names = list(cells)
     w = np.array([cells[c] / total for c in names])
     margins: dict[tuple, list[tuple[np.ndarray, float]]] = defaultdict(list)
@@ -66,16 +84,22 @@ def rake(cells: dict[tuple, int], categories: list[Category], rounds: int = 200,
         if w[rest].sum() > 0:
             part.append((rest, max(0.0, 1 - wanted * scale)))
         targets.append(part)
-    for _ in range(rounds):
-        before = w.copy()
-        for part in targets:
-            for inside, share in part:
-                now = w[inside].sum()
-                if now > 0:
-                    w[inside] *= share / now
-        if np.abs(w - before).max() < close:
-            break
-    return dict(zip(names, w.tolist()))
+    return targets
+
+
+def off_margins(weights: dict[tuple, float], categories: list[Category], close: float = 1e-6) -> set[str]:
+    """Categories whose raked weights miss what their margin asks for: the margins contradict one another, or the rounds did not suffice."""
+    if not weights:
+        return set()
+    w = np.array(list(weights.values()))
+    kinds: dict[tuple, list[Category]] = defaultdict(list)
+    for c in categories:
+        kinds[c.family is None, c.tier is None].append(c)
+    missed = set()
+    for rows in kinds.values():
+        held = {c.category_id: w[np.array([c.holds(x) for x in weights])].sum() for c in rows}
+        missed |= {c.category_id for c in rows if held[c.category_id] < c.share / max(1.0, sum(r.share for r in rows)) - close}
+    return missed
 
 
 def repair(drawn: dict[tuple, int], cells: dict[tuple, int], expected: dict[tuple, float], categories: list[Category], size: int) -> dict[tuple, int]:
@@ -166,8 +190,10 @@ def sample_to_targets(manifest: DataFrame, plans: DataFrame, targets: DataFrame,
     """For each plan with targets, a sample of the manifest's records and a report on its categories.
 
     records: plan_id, part_id, family, tier; report: a row per target with its need (the larger of min_rows, null being
-    0, and target_share * sample_rows), the distinct part_id available, the number and share drawn, the gap (need - drawn, 0 if negative), and whether
-    the manifest cannot fill it (need exceeds available).
+    0, and target_share * sample_rows), the distinct part_id available, the number and share drawn, the gap (need - drawn, 0 if negative), whether
+    the manifest cannot fill it (need exceeds available), how many of its records the repair added (negative: gave up) after the draw, and the cause of a gap:
+    "manifest" (fewer records than needed), "plan" (the needs of its kind of category exceed the sample), "margins" (raking met no weights for all margins at once),
+    "rounding" (a gap under one record), else "other" (records that the minimums of other categories hold); null without a gap.
 
     A row belongs to a category by its own family, apart from case and surrounding white space, and tier; one without family
     belongs to none. A part_id counts once per category; for the draw it stands in the cell of its best row: one that the
@@ -197,10 +223,13 @@ def sample_to_targets(manifest: DataFrame, plans: DataFrame, targets: DataFrame,
 
     drawn = _draw(spark, parts, cells, by_plan, sizes, seed)
     taken: dict[tuple, int] = defaultdict(int)
+    moved: dict[tuple, int] = defaultdict(int)
+    missed: dict[str, set[str]] = {}
     quota = []
     for plan, categories in by_plan.items():
         size = min(sizes.get(plan, 0), sum(cells.values()))
         expected = rake(cells, categories)
+        missed[plan] = off_margins(expected, categories)
         take = repair({x: drawn.get((plan, *x), 0) for x in cells}, cells, expected, categories, size)
         for (f, t), k in take.items():
             if k > 0:
@@ -210,17 +239,31 @@ def sample_to_targets(manifest: DataFrame, plans: DataFrame, targets: DataFrame,
             for c in categories:
                 if c.holds((f, t)):
                     taken[plan, c.category_id] += k
+                    moved[plan, c.category_id] += k - drawn.get((plan, f, t), 0)
     wanted = spark.createDataFrame(quota, "plan_id string, f string, t int, k long, lo double, hi double")
     keyed = parts.select("part_id", "f", "t", F.explode(F.array(*(F.lit(p).cast("string") for p in by_plan)) if by_plan else F.array().cast("array<string>")).alias("plan_id"))
-    keyed = keyed.withColumn("u", _key_uniform(seed))
-    records = smallest(keyed, ["plan_id", "f", "t"], "u", "part_id", wanted).select("plan_id", "part_id", F.when(F.col("f") != OTHER_FAMILY, F.col("f")).alias("family"), F.when(F.col("t") != OTHER_TIER, F.col("t")).alias("tier"))
+    keyed = keyed.withColumn("key", 1 - _key_uniform(seed))  # within a cell all weights are equal, so this has the order of the exponential keys
+    records = smallest(keyed, ["plan_id", "f", "t"], "key", "part_id", wanted).select("plan_id", "part_id", F.when(F.col("f") != OTHER_FAMILY, F.col("f")).alias("family"), F.when(F.col("t") != OTHER_TIER, F.col("t")).alias("tier"))
 
+    needs: dict[tuple, float] = defaultdict(float)
+    for plan, categories in by_plan.items():
+        for c in categories:
+            needs[plan, c.family is None, c.tier is None] += c.need
+    of = {(plan, c.category_id): c for plan, categories in by_plan.items() for c in categories}
     lines = []
     for r in rows:
-        c = next(c for c in by_plan[r.plan_id] if c.category_id == r.category_id)
+        c = of[r.plan_id, r.category_id]
         size, n = sizes.get(r.plan_id, 0), taken[r.plan_id, r.category_id]
-        have = available.get((r.plan_id, r.category_id), 0)
-        lines.append((r.plan_id, r.category_id, c.family, c.tier, c.need, have, c.share, n, n / size if size else None, max(0.0, c.need - n), c.need > have))
+        have, gap = available.get((r.plan_id, r.category_id), 0), max(0.0, c.need - n)
+        if c.need > have:
+            cause = "manifest"
+        elif gap < 1:
+            cause = "rounding" if gap else None
+        elif needs[r.plan_id, c.family is None, c.tier is None] > size:
+            cause = "plan"
+        else:
+            cause = "margins" if c.category_id in missed[r.plan_id] else "other"
+        lines.append((r.plan_id, r.category_id, c.family, c.tier, c.need, have, c.share, n, n / size if size else None, gap, c.need > have, moved[r.plan_id, r.category_id], cause))
     return Sample(records, spark.createDataFrame(lines, REPORT))
 
 

@@ -1,9 +1,11 @@
+import math
 import random
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+from gneiss.llm import sampling
 from gneiss.llm.sampling import Category, clean_family, rake, repair, sample_to_targets, smallest
 
 MANIFEST = "part_id string, family string, tier int, loaded_at timestamp, plan_id string, category_id string"
@@ -92,6 +94,35 @@ def test_samples_match_targets(spark):
     assert sorted(map(tuple, again.records.select("plan_id", "part_id").collect())) == sorted((r.plan_id, r.part_id) for r in records)
 
 
+def test_returned_records_are_those_the_keys_drew(spark):
+    rng = random.Random(11)
+    rows = [(f"p{i}", rng.choice(["plate"] * 6 + ["gear", "bracket"]), rng.randint(0, 2), None, "", "") for i in range(1500)]
+    targets = [("a", "a1", "plate", None, 0.3, None, ""), ("a", "a2", "gear", None, 0.4, 3, ""), ("a", "a3", None, 0, 0.5, 0, ""), ("a", "a4", "bracket", 2, None, 40, ""), ("a", "a5", "gear", 1, 0.0, 4000, "")]
+    manifest, plans = spark.createDataFrame(rows, MANIFEST).repartition(3), spark.createDataFrame([("a", 300, "")], PLANS)
+    sample = sample_to_targets(manifest, plans, spark.createDataFrame(targets, TARGETS))
+    got = {(r.family or sampling.OTHER_FAMILY, sampling.OTHER_TIER if r.tier is None else r.tier, r.part_id) for r in sample.records.collect()}
+    cats = [Category(c, f, t, s or 0.0, m or 0, max(m or 0.0, (s or 0) * 300)) for _, c, f, t, s, m, _ in targets]
+    cell = {i: (f, t) for i, f, t, *_ in rows}
+    cells = Counter(cell.values())
+    rate = {x: w / cells[x] for x, w in rake(cells, cats).items()}
+    u = {r.part_id: r.u for r in manifest.withColumn("plan_id", F.lit("a")).select("part_id", sampling._key_uniform(0).alias("u")).collect()}
+    drew = sorted(cell, key=lambda i: -math.log(u[i]) / max(rate[cell[i]], 1e-300))[:300]
+    drawn = Counter(cell[i] for i in drew)
+    take = repair(drawn, cells, rake(cells, cats), cats, 300)
+    stayed = sum(min(drawn[x], k) for x, k in take.items())
+    assert len(got) == 300 and len({i for *_, i in got} & set(drew)) == stayed > 230
+    report = {r.category_id: r for r in sample.report.collect()}
+    assert report["a5"].cause == "manifest" and report["a5"].gap > 0 and report["a2"].cause is None
+
+
+def test_causes_of_gaps(spark):
+    rows = [(f"p{i}", "plate" if i % 2 else "gear", i % 3, None, "", "") for i in range(400)]
+    targets = [("over", "o1", "plate", None, 0.9, 90, ""), ("over", "o2", "gear", None, 0.1, 60, ""), ("odd", "m1", "plate", None, 0.5, 0, ""), ("odd", "m2", "plate", 1, 0.9, 0, ""), ("round", "r1", "plate", None, 0.333, 0, "")]
+    report = {r.category_id: r for r in sample_to_targets(spark.createDataFrame(rows, MANIFEST), spark.createDataFrame([("over", 100, ""), ("odd", 60, ""), ("round", 100, "")], PLANS), spark.createDataFrame(targets, TARGETS)).report.collect()}
+    assert {report["o1"].cause, report["o2"].cause} == {"plan", None} and report["r1"].cause == "rounding"
+    assert report["m2"].cause in ("margins", None) and all((r.gap > 0) == (r.cause is not None) for r in report.values())
+
+
 def test_empty_tables(spark):
     m, p, t = spark.createDataFrame(corpus(random.Random(3), 30), MANIFEST), spark.createDataFrame([("a", 5, "")], PLANS), spark.createDataFrame([("a", "a1", "plate", None, 1.0, 1, "")], TARGETS)
     for args in ((m.limit(0), p, t), (m, p.limit(0), t), (m, p, t.limit(0))):
