@@ -9,10 +9,10 @@ from gneiss.llm.leakage import leaked_windows
 from gneiss.llm.neardup import duplicate_groups, duplicate_pairs, near_duplicates
 from gneiss.llm.packing import pack_texts
 from gneiss.llm.sampling import sample_to_targets
-from gneiss.llm.shapes import repeats, stored, usable_candidates, usable_signatures
+from gneiss.llm.shapes import ShapeStore, repeats_by_batch, usable_signatures
 from gneiss.llm.subjects import fit_subjects, main_subjects, subject_sentences
 from gneiss.llm.varied import varied_subset
-from gneiss.session import written
+from gneiss.session import fresh_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,10 +60,10 @@ def p2_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Candidates that repeat a signature of the manifest or an earlier candidate."""
-    new = written(stored(usable_candidates(_table(spark, sf_dir, "exec_results"))), "candidates")
-    old = stored(usable_signatures(_table(spark, sf_dir, "manifest")))
-    return repeats(new, written(old.unionByName(new), "known_shapes"))
+    """Candidates that repeat a signature of the manifest or an earlier candidate, admitted to the store four batches at a time."""
+    store = ShapeStore(spark, fresh_path(spark, "shape_store"), buckets=16)
+    store.append(usable_signatures(_table(spark, sf_dir, "manifest")))
+    return repeats_by_batch(store, _table(spark, sf_dir, "exec_results"), together=4)
 
 
 def p4_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
