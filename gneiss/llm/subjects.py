@@ -1,8 +1,9 @@
 """Subject areas of documents by seeded non-negative factorisation of the document-term matrix.
 
-Labels anchor one component per subject: a term may load on a component only if documents with that label hold it far more often
-than others do. Alternating multiplicative updates then fit the loadings. Each sentence is folded into the fitted components, and a
-document's mixture is the share of its sentences that speak of each subject.
+The matrix of labelled documents and all their terms is factored into one component per subject and one for what is said in any document. Labels
+anchor the components: a document's mixture starts with its subjects and the common component, and what starts at 0 stays 0 under multiplicative updates. The
+loadings so fitted tell of each term which part of its use each component explains. A sentence is folded into these: what falls to its
+strongest subject must be `enough`. A document's mixture is the share of its sentences that speak of each subject.
 """
 
 from __future__ import annotations
@@ -39,80 +40,56 @@ def sentences_of(text: str | None) -> list[list[str]]:
 
 @dataclass
 class SubjectModel:
-    """subjects in order; for each anchored term its loadings and its strengths on the subjects; pairs of words that are general."""
+    """subjects in order; for each term the part of its use that each subject's component explains; pairs of words that are general."""
 
     subjects: list[str]
     loading: dict[str, np.ndarray]
-    strength: dict[str, np.ndarray]
     general: set[tuple[str, str]]
     enough: float
     seen: dict[tuple[str, ...], int] = field(default_factory=dict, repr=False)
-    sparse: dict[str, list[tuple[int, float, float]]] = field(default_factory=dict, repr=False)
-
-    def index(self) -> None:
-        """Notes each term's subjects with loading and strength; most terms have one."""
-        self.sparse = {t: [(int(s), float(h[s]), float(self.strength[t][s])) for s in np.flatnonzero(h)] for t, h in self.loading.items()}
 
     def terms(self, words: list[str]) -> tuple[str, ...]:
-        """A sentence's anchored terms, less those that stand in a pair known to be general."""
-        have, out = self.loading, []
-        for i, w in enumerate(words):
-            if w in have and (i == 0 or (words[i - 1], w) not in self.general) and (i + 1 == len(words) or (w, words[i + 1]) not in self.general):
-                out.append(w)
-        return tuple(out)
+        """A sentence's terms with loadings, less those that stand in a pair known to be general."""
+        have = self.loading
+        if have.keys().isdisjoint(words):
+            return ()
+        return tuple(w for i, w in enumerate(words) if w in have and (i == 0 or (words[i - 1], w) not in self.general) and (i + 1 == len(words) or (w, words[i + 1]) not in self.general))
 
     def subject(self, words: list[str]) -> int:
-        """The subject that a sentence speaks of, -1 if none: its terms are folded in, and what falls to a subject must be `enough`."""
+        """The subject that a sentence speaks of, -1 if none: its terms' loadings are summed up, and the largest sum must be `enough` (ties: the first)."""
         terms = self.terms(words)
         if not terms:
             return -1
-        held = [self.sparse[t] for t in terms]
-        one = held[0][0][0]
-        if all(len(x) == 1 and x[0][0] == one for x in held):
-            return one if sum(x[0][2] for x in held) >= self.enough else -1
         found = self.seen.get(terms)
         if found is None:
-            found = self._fold_in(held)
+            total = sum(self.loading[t] for t in terms)
+            best = int(total.argmax())
+            found = best if total[best] >= self.enough else -1
             if len(self.seen) < 200_000:
                 self.seen[terms] = found
         return found
 
-    def _fold_in(self, held: list[list[tuple[int, float, float]]], rounds: int = 15) -> int:
-        """The subject with most strength after `rounds` of updates of the sentence's mixture; few terms, so plain numbers are fastest."""
-        w = dict.fromkeys(sorted({s for x in held for s, _, _ in x}), 1.0)
-        for _ in range(rounds):
-            new, score = dict.fromkeys(w, 0.0), dict.fromkeys(w, 0.0)
-            for x in held:
-                total = sum(h * w[s] for s, h, _ in x) or 1e-300
-                for s, h, strength in x:
-                    part = h * w[s] / total
-                    new[s] += part
-                    score[s] += part * strength
-            w = new
-        best = max(score, key=score.__getitem__)
-        return best if score[best] >= self.enough else -1
-
-
-def factorise(docs: np.ndarray, terms: np.ndarray, counts: np.ndarray, labels: np.ndarray, allowed: np.ndarray, rounds: int = 30) -> np.ndarray:
-    """Loadings (subjects x terms, rows sum to 1) by alternating multiplicative updates under Kullback-Leibler loss.
-
-    docs, terms, counts: the entries of the matrix. labels (documents x subjects) seed the mixtures, allowed (subjects x
-    terms) the loadings; what is 0 stays 0, which keeps components anchored.
+
+def factorise(docs: np.ndarray, terms: np.ndarray, counts: np.ndarray, mixtures: np.ndarray, n_terms: int, rounds: int = 3, block: int = 200_000) -> tuple[np.ndarray, np.ndarray]:
+    """(uses, mixtures) after alternating multiplicative updates under Kullback-Leibler loss: how often (components x terms) and in which documents each component is used.
+
+    docs, terms, counts: the entries of the matrix, taken in blocks, so memory stays bounded. mixtures (documents x components) are the seeds; what is 0 stays
+    0, which anchors the components. Few rounds are meant: with more, a component takes over words that merely go along with its documents.
     """
-    n, k, m = len(labels), len(allowed), allowed.shape[1]
-    h = allowed * np.stack([np.bincount(terms, counts * labels[docs, s], m) + 1e-3 for s in range(k)])
-    h /= np.maximum(h.sum(1, keepdims=True), 1e-300)
-    w = labels + 0.05
-    for _ in range(rounds):
-        for update in ("mixtures", "loadings"):
-            part = w[docs] * h[:, terms].T
-            part *= (counts / np.maximum(part.sum(1), 1e-300))[:, None]
-            if update == "mixtures":
-                w = np.stack([np.bincount(docs, part[:, s], n) for s in range(k)], axis=1)
-            else:
-                h = np.stack([np.bincount(terms, part[:, s], m) for s in range(k)])
-                h /= np.maximum(h.sum(1, keepdims=True), 1e-300)
-    return h
+    k = mixtures.shape[1]
+    loadings, start = None, mixtures
+    for _ in range(rounds + 1):
+        uses, new = np.zeros((k, n_terms)), np.zeros(mixtures.shape)
+        for a in range(0, len(docs), block):
+            d, t, c = docs[a : a + block], terms[a : a + block], counts[a : a + block]
+            part = mixtures[d] if loadings is None else mixtures[d] * loadings[:, t].T
+            part *= (c / np.maximum(part.sum(1), 1e-300))[:, None]
+            for s in range(k):
+                uses[s] += np.bincount(t, part[:, s], n_terms)
+                new[:, s] += np.bincount(d, part[:, s], len(mixtures))
+        mixtures = start if loadings is None else new
+        loadings = uses / np.maximum(uses.sum(1, keepdims=True), 1e-300)
+    return uses, mixtures
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, subjects: DataFrame, sample_docs: int, doc_id: str, text: str) -> tuple[DataFrame, list[str]]:
@@ -122,12 +99,17 @@ def _labelled(docs: DataFrame, labels: DataFrame, subjects: DataFrame, sample_do
     numbers = labels.sparkSession.createDataFrame([(k, i) for k, i in clean.items()], "name string, s int")
     rows = labels.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("name")).dropna().join(F.broadcast(numbers), "name")
     per_doc = rows.groupBy("doc_id").agg(F.array_sort(F.collect_set("s")).alias("labels"))
+    per_doc = written(per_doc, "doc_labels")
+    have = per_doc.count()
+    if have > sample_docs:  # no task sends more than its share: only hashes that can be among the smallest are sorted
+        part = (sample_docs + 8 * sample_docs**0.5 + 8) / have
+        per_doc = per_doc.where(F.xxhash64("doc_id") <= F.lit(min((1 << 63) - 1, int(-(1 << 63) + part * (1 << 64)))))
     sample = per_doc.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("text is not null")
     return texts.join(F.broadcast(written(sample, "labelled")), "doc_id"), names
 
 
-def _purity(rows: DataFrame, k: int, sizes: np.ndarray, least: int) -> dict[str, tuple[int, np.ndarray]]:
+def _frequent(rows: DataFrame, k: int, least: int) -> dict[str, tuple[int, np.ndarray]]:
     """(documents, documents with each label) of terms in `least` documents or more."""
     counts = rows.groupBy("term").agg(F.sum("n").alias("n"), *(F.sum(F.col("by")[i]).alias(f"s{i}") for i in range(k))).where(F.col("n") >= least)
     return {r["term"]: (r["n"], np.array([r[f"s{i}"] for i in range(k)], float)) for r in counts.toLocalIterator()}
@@ -144,6 +126,15 @@ def _lines(text: str) -> list[list[str]]:
     return [s.split(" ") for s in text.split("\n")] if text else []
 
 
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents by word, summed per batch."""
+    for batch in batches:
+        found: Counter[str] = Counter()
+        for lines in batch.column("lines").to_pylist():
+            found.update(set(lines.replace("\n", " ").split(" ")) - {""})
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["term", "n"])
+
+
 def _count(k: int, terms):
     """Documents by term and label, summed per batch before they are sent."""
 
@@ -161,13 +152,13 @@ def _count(k: int, terms):
     return run
 
 
-def fit_subjects(docs: DataFrame, labels: DataFrame, subjects: DataFrame, *, sample_docs: int = 40_000, doc_id: str = "doc_id", text: str = "text", enough: float = 0.62) -> SubjectModel:
+def fit_subjects(docs: DataFrame, labels: DataFrame, subjects: DataFrame, *, sample_docs: int = 40_000, doc_id: str = "doc_id", text: str = "text", enough: float = 0.65, least_docs: int = 6, common: float = 1.0) -> SubjectModel:
     """The model, from at most `sample_docs` labelled documents (those with the smallest hash; whole texts).
 
-    Labels are cleaned of case and blanks; null and unknown ones do not count, doubled ones count once, and of those in conflict each counts.
-    A term anchors a subject if at least 0.3 of its documents have that label, and 2.5 times the label's usual share p of documents (or
-    (1 + p) / 2, if that is less). A frequent pair of words whose documents' labels are spread (under 0.35 or 1.25 p for each subject) makes its anchored words general there. Without subjects or labels the model has no
-    terms. The driver holds the anchored terms and, of the sample, their counts by document.
+    Labels are cleaned of case and blanks; null and unknown ones do not count, doubled ones count once, and of those in conflict each seeds its component. `common` is the seed
+    of the common component, to 1 for a label. Terms in fewer than `least_docs` documents of the sample are left out, and of the others those of which no subject explains 0.4 have no loadings.
+    A pair of words, one of them with loadings, whose documents' labels are spread (under 0.35 or 1.25 times the label's usual share for each subject) makes its words general there. Without subjects or labels the model has no
+    terms. The driver holds the terms and, of the sample, their counts by document.
     """
     rows, names = _labelled(docs, labels, subjects, sample_docs, doc_id, text)
     rows = written(rows.select("text", "labels").mapInArrow(_plain, "lines string, labels array<int>"), "labelled_texts")
@@ -177,44 +168,31 @@ def fit_subjects(docs: DataFrame, labels: DataFrame, subjects: DataFrame, *, sam
         sizes[r.s] = r["count"]
     total = rows.count()
     if not k or not total:
-        return SubjectModel(names, {}, {}, set(), enough)
-    schema = "term string, n long, by array<bigint>"
-    words = _purity(rows.mapInArrow(_count(k, lambda s: s), schema), k, sizes, max(4, total // 20_000))
-    prior = sizes / total
-    anchors, strength = {}, {}
-    for t, (n, by) in words.items():
-        pure = by / (n + 1)
-        good = (pure >= np.maximum(0.3, np.minimum(2.5 * prior, (1 + prior) / 2))) & (by >= 4)
-        if good.any():
-            anchors[t], strength[t] = good, pure
-    if not anchors:
-        return SubjectModel(names, {}, {}, set(), enough)
-    usual = np.array([np.quantile(own, 0.8) if (own := [p[s] for t, p in strength.items() if p.argmax() == s]) else 1.0 for s in range(k)])
-    strength = {t: np.minimum(1, p / usual) * anchors[t] for t, p in strength.items()}
-
-    near = set(anchors)
-    pairs = _purity(rows.mapInArrow(_count(k, lambda s: (f"{a} {b}" for a, b in zip(s, s[1:]) if a in near or b in near)), schema), k, sizes, max(6, total // 20_000))
-    general = {tuple(t.split(" ")) for t, (n, by) in pairs.items() if (by < np.maximum(0.35, 1.25 * prior) * (n + 1)).all()}
-
-    model = SubjectModel(names, {t: good.astype(float) for t, good in anchors.items()}, strength, general, enough)
-    vocabulary = {t: i for i, t in enumerate(sorted(anchors))}
+        return SubjectModel(names, {}, set(), enough)
+    found = rows.mapInArrow(_words, "term string, n long").groupBy("term").agg(F.sum("n").alias("n")).where(F.col("n") >= least_docs)
+    vocabulary = {t: i for i, t in enumerate(sorted(r["term"] for r in found.toLocalIterator()))}
+    if not vocabulary:
+        return SubjectModel(names, {}, set(), enough)
 
     def matrix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            per = [Counter(vocabulary[t] for s in _lines(x) for t in model.terms(s)) for x in batch.column("lines").to_pylist()]
+            per = [Counter(filter(None.__ne__, map(vocabulary.get, x.replace("\n", " ").split(" ")))) for x in batch.column("lines").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([list(c) for c in per], pa.list_(pa.int32())), pa.array([list(c.values()) for c in per], pa.list_(pa.int32())), batch.column("labels")], names=["terms", "counts", "labels"])
 
     table = rows.mapInArrow(matrix, "terms array<int>, counts array<int>, labels array<int>").toArrow()
-    seeds = np.zeros((table.num_rows, k))
-    for i, x in enumerate(table.column("labels").to_pylist()):
-        seeds[i, x] = 1
-    lengths = np.array([len(x) for x in table.column("terms").to_pylist()])
+    lengths = lambda c: np.diff(table.column(c).combine_chunks().offsets.to_numpy())
     flat = lambda c: table.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    allowed = np.stack([anchors[t] for t in vocabulary], axis=1).astype(float)
-    h = factorise(np.repeat(np.arange(table.num_rows), lengths), flat("terms"), flat("counts").astype(float), seeds, allowed)
-    model.loading = {t: h[:, i] + 1e-9 * allowed[:, i] for t, i in vocabulary.items()}
-    model.index()
-    return model
+    seeds = np.zeros((table.num_rows, k + 1))
+    seeds[np.repeat(np.arange(table.num_rows), lengths("labels")), flat("labels")] = 1
+    seeds[:, k] = common
+    uses, _ = factorise(np.repeat(np.arange(table.num_rows, dtype=np.int32), lengths("terms")), flat("terms"), flat("counts"), seeds, len(vocabulary))
+    explained = (uses / np.maximum(uses.sum(0), 1e-300))[:k]
+    loading = {t: explained[:, i] for t, i in vocabulary.items() if explained[:, i].max() >= 0.4}
+
+    prior, near = sizes / total, set(loading)
+    pairs = _frequent(rows.mapInArrow(_count(k, lambda s: () if near.isdisjoint(s) else (f"{a} {b}" for a, b in zip(s, s[1:]) if a in near or b in near)), "term string, n long, by array<bigint>"), k, least_docs)
+    general = {tuple(t.split(" ")) for t, (n, by) in pairs.items() if (by < np.maximum(0.35, 1.25 * prior) * (n + 1)).all()}
+    return SubjectModel(names, loading, general, enough)
 
 
 def subject_sentences(docs: DataFrame, model: SubjectModel, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -222,12 +200,11 @@ def subject_sentences(docs: DataFrame, model: SubjectModel, *, doc_id: str = "do
 
     Texts that are null, empty or speak of no subject have no row; texts that share a doc_id are one document; the rows are not shuffled but for such documents.
     """
-    plain = (model.subjects, model.loading, model.strength, model.general, model.enough)  # executors may lack the package, so no class of it is sent
+    plain = (model.subjects, model.loading, model.general, model.enough)  # executors may lack the package, so no class of it is sent
     shared = docs.sparkSession.sparkContext.broadcast(plain)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = SubjectModel(*shared.value)
-        model.index()
         for batch in batches:
             ids, subjects, counts = [], [], []
             for i, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):

@@ -3,7 +3,9 @@ import random
 import numpy as np
 import pytest
 
-from gneiss.llm.subjects import factorise, fit_subjects, main_subjects, sentences_of, subject_sentences
+from pyspark.sql import functions as F
+
+from gneiss.llm.subjects import SubjectModel, _labelled, factorise, fit_subjects, main_subjects, sentences_of, subject_sentences
 
 WORDS = {"gears": "pinion tooth mesh backlash sprocket involute".split(), "law": "court clause licence statute waiver royalty".split(), "sport": "rider saddle racket trail goal paddle".split()}
 GENERAL = ["the drawing is on the shelf", "thanks for the quick answer", "the saddle block is mm wide", "we made more of these last year", "see the card for the other dimensions"]
@@ -100,12 +102,42 @@ def test_sentences():
 
 def test_factors_explain_the_matrix_and_keep_zeros():
     rng = np.random.default_rng(3)
-    h = np.array([[5, 4, 3, 0, 0, 1], [0, 0, 0, 6, 5, 1]], float)
-    w = rng.dirichlet([0.3, 0.3], 300)
+    h = np.array([[5, 4, 3, 0, 0, 1], [0, 0, 0, 6, 5, 1], [1, 0, 0, 0, 1, 9]], float)
+    w = np.zeros((400, 3))
+    w[np.arange(400), rng.integers(0, 2, 400)] = rng.uniform(0.3, 0.9, 400)
+    w[:, 2] = 1 - w.sum(1)
     v = rng.poisson(w @ h * 3)
     docs, terms = np.nonzero(v)
-    allowed = np.array([[1, 1, 1, 0, 0, 1], [0, 0, 0, 1, 1, 1]], float)
-    labels = (w > 0.6).astype(float)
-    got = factorise(docs, terms, v[docs, terms].astype(float), labels, allowed)
-    assert np.allclose(got.sum(1), 1) and (got[allowed == 0] == 0).all()
-    assert np.allclose(got, h / h.sum(1, keepdims=True), atol=0.05)
+    seeds = (w > 0).astype(float)
+    uses, mixtures = factorise(docs, terms, v[docs, terms].astype(float), seeds, 6, rounds=20, block=500)
+    again, _ = factorise(docs, terms, v[docs, terms].astype(float), seeds, 6, rounds=20)
+    assert np.allclose(uses, again) and (mixtures[seeds == 0] == 0).all()
+    assert np.allclose(uses.sum(), v.sum()) and np.allclose(mixtures.sum(1), v.sum(1))
+    explained = uses / uses.sum(0)
+    assert (explained[0, 1:3] > 0.9).all() and explained[1, 3] > 0.9 and explained[2, 5] > 0.7
+
+
+def right(spark, model):
+    docs, truth, _ = corpus(400, seed=2)
+    found = {i: set() for i in truth}
+    for r in main_subjects(subject_sentences(spark.createDataFrame(docs, DOCS).repartition(3), model)).collect():
+        found[r.doc_id].add(r.subject_id)
+    return sum(found[i] == truth[i] for i in truth) / len(truth)
+
+
+def test_loadings_decide(spark, fitted):
+    """With every loading replaced by one, or by equal parts, hardly a document that has a subject is right."""
+    _, _, model = fitted
+    for flat in (1.0, 1 / len(WORDS)):
+        same = SubjectModel(model.subjects, {t: np.full(len(WORDS), flat) for t in model.loading}, model.general, model.enough)
+        assert right(spark, same) < 0.5
+    assert right(spark, model) >= 0.98
+
+
+def test_sample_is_the_smallest_hashes(spark, fitted):
+    d, truth, _ = fitted
+    labels = spark.createDataFrame([(i, "law", "") for i in truth], LABELS)
+    subjects = spark.createDataFrame(SUBJECTS, "subject_id string, title string")
+    rows, _ = _labelled(d, labels, subjects, 60, "doc_id", "text")
+    want = [r.doc_id for r in d.select("doc_id").orderBy(F.xxhash64("doc_id")).limit(60).collect()]
+    assert sorted(r.doc_id for r in rows.collect()) == sorted(want)
