@@ -76,12 +76,13 @@ def available_passes(files: DataFrame, canonical: list[str]) -> DataFrame:
 
 
 def mesh_bounds(vertices: DataFrame, key: str = "part_id") -> DataFrame:
-    """Per mesh: extents, centre and radius about it (half the diagonal of the box)."""
+    """Per mesh: extents, the box's centre and the distance of the farthest vertex from it. Boxes and distances combine before the shuffle, so a large mesh makes no large group."""
     axes = ("x", "y", "z")
     box = vertices.groupBy(key).agg(*(f(a).alias(f"{n}_{a}") for a in axes for n, f in (("min", F.min), ("max", F.max))))
-    centre = [((F.col(f"min_{a}") + F.col(f"max_{a}")) / 2).alias(f"centre_{a}") for a in axes]
-    square = sum(((F.col(f"max_{a}") - F.col(f"min_{a}")) * (F.col(f"max_{a}") - F.col(f"min_{a}")) for a in axes), F.lit(0.0))
-    return box.select("*", *centre, (F.sqrt(square) / 2).alias("radius"))
+    box = box.select("*", *(((F.col(f"min_{a}") + F.col(f"max_{a}")) / 2).alias(f"centre_{a}") for a in axes))
+    off = [F.col(a) - F.col(f"centre_{a}") for a in axes]
+    far = vertices.select(key, *axes).join(box.select(key, *(f"centre_{a}" for a in axes)), key).groupBy(key).agg(F.sqrt(F.max(off[0] * off[0] + off[1] * off[1] + off[2] * off[2])).alias("radius"))
+    return box.join(far, key)
 
 
 def grouped_params(params: DataFrame) -> DataFrame:

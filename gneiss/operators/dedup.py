@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,17 +17,25 @@ def first_wins(df: DataFrame, key: list[Column], order: list[str], valid: Column
     """df with `decision`: accepted, duplicate or invalid.
 
     Of the valid rows that share a key the first in order is accepted. Invalid rows register nothing. Rows that tie in key and order are told apart by
-    all their columns, so exactly one is accepted. The first of each key is found by an aggregation that combines before the shuffle, and the
-    decision by a join with these, so a key that a third of all rows share makes no large group.
+    all their columns; of rows that are equal in these too one is accepted and the others are duplicates. The first of each key and its number of copies are found by aggregations that combine before the shuffle, and the
+    decision by a join with these, so a key that a third of all rows share makes no large group. First places are a written table: what is decided does not change if it is worked out again.
     """
     ok = F.lit(True) if valid is None else F.coalesce(valid, F.lit(False))
     digest = F.xxhash64(*[F.to_json(F.struct(c)) if t.startswith("map") else F.col(c) for c, t in df.dtypes])
-    place = F.struct(*order, digest.alias("_digest"))
-    rows = df.withColumn("_key", F.struct(*(k.alias(f"k{i}") for i, k in enumerate(key)))).withColumn("_place", place).withColumn("_ok", ok)
-    firsts = rows.where("_ok").groupBy(F.col("_key").alias("_first_key")).agg(F.min("_place").alias("_first"))
-    marked = rows.join(firsts, F.col("_ok") & F.col("_key").eqNullSafe(F.col("_first_key")), "left")
-    decision = F.when(~F.col("_ok"), "invalid").when(F.col("_place") == F.col("_first"), "accepted").otherwise("duplicate")
-    return marked.withColumn("decision", decision).drop("_key", "_place", "_ok", "_first", "_first_key")
+    rows = df.withColumn("_key", F.struct(*(k.alias(f"k{i}") for i, k in enumerate(key)))).withColumn("_place", F.struct(*order, digest.alias("_digest"))).withColumn("_ok", ok)
+    places = rows.where("_ok").groupBy("_key", "_place").agg(F.count("*").alias("_copies"))
+    firsts = written(places.groupBy(F.col("_key").alias("_first_key")).agg(F.min(F.struct("_place", "_copies")).alias("_f")), "first_places")
+    marked = rows.join(firsts.select("_first_key", "_f.*").withColumnRenamed("_place", "_first"), F.col("_ok") & F.col("_key").eqNullSafe(F.col("_first_key")), "left")
+    first = F.coalesce(F.col("_place") == F.col("_first"), F.lit(False))
+    decided = marked.withColumn("decision", F.when(~F.col("_ok"), "invalid").when(first, "accepted").otherwise("duplicate"))
+    if firsts.where("_f._copies > 1").isEmpty():
+        return decided.select(*df.columns, "decision")
+    copied = first & (F.col("_copies") > 1)
+    one = marked.where(copied).groupBy("_first_key").agg(F.any_value(F.struct(*df.columns)).alias("_row"), F.any_value("_copies").alias("_copies"))
+    block = 10_000  # copies are counted out in blocks
+    blocks = one.select("_row", "_copies", F.explode(F.sequence(F.lit(0), F.floor((F.col("_copies") - 1) / block))).alias("_b"))
+    copies = blocks.select("_row", F.explode(F.sequence(F.col("_b") * block + 1, F.least(F.col("_copies"), (F.col("_b") + 1) * block))).alias("_c"))
+    return decided.where(~copied | F.col("_copies").isNull()).select(*df.columns, "decision").unionByName(copies.select("_row.*", F.when(F.col("_c") == 1, "accepted").otherwise("duplicate").alias("decision")))
 
 
 def accepted_firsts(df: DataFrame, key: list[Column], order: list[str]) -> DataFrame:
@@ -99,13 +109,15 @@ def running_accepts(df: DataFrame, accepted: Column, order: str, limit: int, buc
     """df with `n_before` and `accepts`: rows and accepted rows up to and including each, in order of a whole number; rows after the limit-th accept are dropped.
 
     Running counts over all rows need no single sorted partition: rows are counted by range of the order, the ranges' totals
-    are summed up, and ranks are taken within each range.
+    are summed up, and ranks are taken within each range. The ranges' edges are quantiles of the order (of equal rank, to a tenth of a range), so outliers do not crowd
+    the other rows into one range. Rows without order are in none and are dropped.
     """
-    span = df.agg(F.min(order).alias("lo"), F.max(order).alias("hi")).first()
-    if span.lo is None:
-        return df.withColumn("n_before", F.lit(0).cast("bigint")).withColumn("accepts", F.lit(0).cast("bigint"))
-    width = max(1, -(-(span.hi - span.lo + 1) // buckets))
-    rows = df.withColumn("_range", F.floor((F.col(order) - span.lo) / width)).withColumn("_ok", F.coalesce(accepted, F.lit(False)).cast("bigint"))
+    edges = df.agg(F.percentile_approx(order, [i / buckets for i in range(1, max(2, buckets))], 10 * buckets).alias("e")).first()["e"]
+    if edges is None:
+        return df.withColumn("n_before", F.lit(0).cast("bigint")).withColumn("accepts", F.lit(0).cast("bigint")).limit(0)
+    splits = [-math.inf, *sorted(set(map(float, edges if buckets > 1 else [0.0]))), math.inf]  # a value's range is found by bisection; large whole numbers that are one double share a range
+    placed = Bucketizer(splits=splits, inputCol="_at", outputCol="_range").transform(df.where(F.col(order).isNotNull()).withColumn("_at", F.col(order).cast("double"))).drop("_at")
+    rows = placed.withColumn("_ok", F.coalesce(accepted, F.lit(False)).cast("bigint"))
     totals = rows.groupBy("_range").agg(F.count("*").alias("n"), F.sum("_ok").alias("k"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # over at most `buckets` rows
     offsets = totals.select("_range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_n"), F.coalesce(F.sum("k").over(before), F.lit(0)).alias("_k"))
@@ -113,3 +125,4 @@ def running_accepts(df: DataFrame, accepted: Column, order: str, limit: int, buc
     counted = rows.join(F.broadcast(offsets.where(F.col("_k") < limit)), "_range")
     counted = counted.withColumn("n_before", F.col("_n") + F.count("*").over(within)).withColumn("accepts", F.col("_k") + F.sum("_ok").over(within))
     return counted.where((F.col("accepts") < limit) | ((F.col("accepts") == limit) & (F.col("_ok") == 1))).drop("_range", "_ok", "_n", "_k")
+

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gneiss.functions import scalars as fx
 from gneiss.functions.expressions import EXPR_TYPE, evaluate, source_text
+from gneiss.functions.standards import STOCK_THICKNESSES
 from gneiss.operators import corpus, dedup, lookups, validity
 from gneiss.plans import pipeline
 from gneiss.session import fresh_path
@@ -327,7 +328,7 @@ def family_weights(spark, sf_dir):
     return lookups.renormalised(weights, table(spark, sf_dir, "manifest").select("family"))
 
 
-_STOCK = [2.0, 3.0, 4.0, 5.0, 6.0, 8.0, 10.0, 12.0, 16.0, 20.0]
+_STOCK = STOCK_THICKNESSES
 
 
 @query(f"""select p_partkey, coalesce((select s from unnest({_STOCK}::double[]) t(s) where s between 3 and 16 order by abs(s - p_size), s limit 1), p_size) snapped from part""")
@@ -341,12 +342,6 @@ def moments_sorted(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select("vec_id", F.array_join(parts, ",").alias("moments"))
 
 
-@query("select file_id, rel_path, n_bytes from small_files where lower(regexp_extract(rel_path, '[^.]*$')) = 'json' and n_bytes > 0 and n_bytes <= 200 order by n_bytes, file_id limit 50")
-def top_n_smallest(spark, sf_dir):
-    rows = table(spark, sf_dir, "small_files").where((F.lower(F.substring_index("rel_path", ".", -1)) == "json") & (F.col("n_bytes") > 0) & (F.col("n_bytes") <= 200))
-    return rows.orderBy("n_bytes", "file_id").limit(50).select("file_id", "rel_path", "n_bytes")
-
-
 @query("select doc_id, substr(sha256(text), 1, 16) h from (select *, row_number() over (partition by text order by doc_id) r from documents where text is not null) where r = 1")
 def append_resume(spark, sf_dir):
     """A corpus deduplicated in two steps, the second against the state of the first; equal to one step."""
@@ -430,6 +425,14 @@ def _decided(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipeline.decide(rows.dropDuplicates())
 
 
+@query(f"""select cand_id, decision, count(*) n from (select cand_id, case when reason <> '' then 'invalid' when row_number() over (partition by reason <> '', {_SIGS}, len(moments), n_faces, n_edges, n_vertices order by cand_id) = 1 then 'accepted' else 'duplicate' end decision
+    from (select cand_id, {_REASON} reason, volume, surface_area, list_sort(principal_moments) moments, n_faces, n_edges, n_vertices from exec_results)) group by 1, 2""")
+def decisions_with_copies(spark, sf_dir):
+    """Decisions over the table as it stands: of a candidate sent twice one row at most is accepted."""
+    rows = table(spark, sf_dir, "exec_results").withColumnRenamed("cand_id", "attempt").drop("arrived_at", "traceback")
+    return pipeline.decide(rows).groupBy(F.col("attempt").alias("cand_id"), "decision").agg(F.count("*").alias("n"))
+
+
 @query(f"select cand_id, reason, decision from {_DECIDED}")
 def generate_decisions(spark, sf_dir):
     """The flagship: each candidate's validity and, in order, whether it is the first of its signature."""

@@ -110,12 +110,19 @@ def write_manifest(records: DataFrame, path: str, order: str = "attempt") -> Non
 
 
 def replace_path(spark: SparkSession, staging: str, path: str) -> None:
+    """Puts a staged folder at path. What was there is moved aside, and deleted once the new one is in its place: at any moment one of the two is whole."""
     jvm = spark.sparkContext._jvm
-    old, new = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(staging)
+    old, new, aside = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, staging, f"{path}.old"))
     fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(old, True)
+    if fs.exists(old):
+        fs.delete(aside, True)
+        if not fs.rename(old, aside):
+            raise OSError(f"{path} could not be moved aside")
     if not fs.rename(new, old):
+        if fs.exists(aside):
+            fs.rename(aside, old)
         raise OSError(f"{staging} could not be put at {path}")
+    fs.delete(aside, True)
 
 
 def write_state(folder: str | Path, seed: int, version: str, accepted: int, attempted: int) -> None:

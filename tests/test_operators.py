@@ -59,6 +59,20 @@ def test_first_wins_accepts_one_of_equal_rows_or_none_of_no_rows(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b")], "i int, k string")
     assert dedup.accepted_firsts(df, [F.lit(1)], ["i"]).count() == 1
     assert dedup.first_wins(df.limit(0), [F.col("k")], ["i"]).count() == 0
+    data = [(1, "a", {"x": 1})] * 25_000 + [(2, "a", {"x": 1})] * 3 + [(3, "b", None)] * 2 + [(4, "c", None)] + [(5, None, None)] * 2
+    many = spark.createDataFrame(data, "i int, k string, m map<string,int>")
+    for n in (1, 3, 16):
+        marked = dedup.first_wins(many.repartition(n), [F.col("k")], ["i"], F.col("i") < 5)
+        got = {(r.i, r.decision): r["count"] for r in marked.groupBy("i", "decision").count().collect()}
+        assert got == {(1, "accepted"): 1, (1, "duplicate"): 24_999, (2, "duplicate"): 3, (3, "accepted"): 1, (3, "duplicate"): 1, (4, "accepted"): 1, (5, "invalid"): 2}
+        assert marked.columns == ["i", "k", "m", "decision"]
+
+
+def test_an_outlier_does_not_crowd_the_ranges(spark):
+    df = spark.range(0, 20_000).selectExpr("case when id = 19999 then 1L << 55 else id end as i", "id % 3 = 0 as ok")
+    got = dedup.running_accepts(df.repartition(4), F.col("ok"), "i", 1 << 40, 100)
+    rows = sorted((r.i, r.n_before, r.accepts) for r in got.collect())
+    assert [n for _, n, _ in rows] == list(range(1, 20_001)) and rows[-1][2] == 6667
 
 
 def greedy(rows):
