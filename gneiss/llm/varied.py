@@ -339,6 +339,47 @@ def varied_subset(manifest: DataFrame, size: int, *, entries: int | None = None,
     return spark.createDataFrame(rows, schema)
 
 
+class Centres:
+    """Centres in cells about some of them, so that a record's nearest centre is found without a comparison with each: a cell whose pivot lies further off than the nearest pivot by more than the cell's radius holds none."""
+
+    def __init__(self, centres: np.ndarray):
+        k = len(centres)
+        self.centres, self.square = centres, (centres**2).sum(1)
+        if k <= 256:
+            self.cells = None
+            return
+        pivots = np.unique(np.linspace(0, k - 1, max(int(np.sqrt(k)), k // 16)).astype(int))
+        near = self._squares(centres, centres[pivots]).argmin(1)
+        self.pivots = centres[pivots]
+        self.cells = [np.flatnonzero(near == p) for p in range(len(pivots))]
+        self.radius = np.array([np.sqrt(self._squares(centres[c], self.pivots[p : p + 1]).max(initial=0)) for p, c in enumerate(self.cells)])
+
+    @staticmethod
+    def _squares(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return np.maximum(0, (x**2).sum(1)[:, None] - 2 * x @ y.T + (y**2).sum(1)[None, :])
+
+    def nearest(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(centre, squared distance) of each row's nearest centre; the first of those as near."""
+        if self.cells is None:
+            d = self._squares(x, self.centres)
+            found = d.argmin(1)
+            return found, d[np.arange(len(x)), found]
+        to_pivot = np.sqrt(self._squares(x, self.pivots))
+        best, found = np.full(len(x), np.inf), np.zeros(len(x), np.int64)
+        home = to_pivot.argmin(1)  # its cell gives a first bound, which spares most others
+        for own in (True, False):
+            for p, cell in enumerate(self.cells):
+                rows = np.flatnonzero(home == p if own else (home != p) & (to_pivot[:, p] - self.radius[p] <= np.sqrt(best) * (1 + 1e-9) + 1e-9))
+                if not len(rows) or not len(cell):
+                    continue
+                d = self._squares(x[rows], self.centres[cell])
+                at = d.argmin(1)
+                low, which = d[np.arange(len(rows)), at], cell[at]
+                better = (low < best[rows]) | ((low == best[rows]) & (which < found[rows]))
+                best[rows[better]], found[rows[better]] = low[better], which[better]
+        return found, best
+
+
 def _others(points: DataFrame, centres: np.ndarray, taken: list[str], wanted: int) -> list[tuple[str, float]]:
     """(id, distance to the nearest centre) of up to `wanted` records whose vectors no taken record has, one for each vector, those farthest from all centres first."""
     if wanted <= 0:
@@ -349,12 +390,10 @@ def _others(points: DataFrame, centres: np.ndarray, taken: list[str], wanted: in
     shared = points.sparkSession.sparkContext.broadcast(centres)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centres = shared.value
-        square = (centres**2).sum(1)
+        centres = Centres(shared.value)
         for b in batches:
-            for at in range(0, b.num_rows, step := max(1, (1 << 22) // len(centres))):
-                x = _matrix(b.column(1).slice(at, step))
-                d = np.maximum(0, square[None, :] - 2 * x @ centres.T + (x**2).sum(1)[:, None]).min(1)
+            for at in range(0, b.num_rows, step := 8192):
+                _, d = centres.nearest(_matrix(b.column(1).slice(at, step)))
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(at, step), pa.array(np.sqrt(d))], names=["id", "distance"])
 
     far = left.select("id", "x").mapInArrow(run, "id string, distance double")
@@ -368,17 +407,17 @@ def _nearest(points: DataFrame, centres: np.ndarray, own: bool, taken: set[str])
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centres, taken = shared.value
         best: dict[int, tuple[float, str]] = {}
-        square = (centres**2).sum(1)
+        square, cells = (centres**2).sum(1), Centres(centres) if own else None
         for b in batches:
             ids = b.column(0).to_pylist()
-            for at in range(0, len(ids), step := max(1, (1 << 22) // len(centres))):
+            for at in range(0, len(ids), step := 8192 if own else max(1, (1 << 22) // len(centres))):
                 x = _matrix(b.column(1).slice(at, step))
-                d = np.maximum(0, square[None, :] - 2 * x @ centres.T + (x**2).sum(1)[:, None])
                 names = ids[at : at + len(x)]
                 if own:
-                    near = d.argmin(1)
-                    found = zip(near.tolist(), d[np.arange(len(x)), near].tolist(), names)
+                    near, d = cells.nearest(x)
+                    found = zip(near.tolist(), d.tolist(), names)
                 else:
+                    d = np.maximum(0, square[None, :] - 2 * x @ centres.T + (x**2).sum(1)[:, None])
                     d[[n in taken for n in names]] = np.inf
                     low = d.min(0)
                     found = ((int(c), float(low[c]), names[r]) for r, c in np.argwhere(d == low[None, :]) if low[c] < np.inf)

@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from gneiss.llm.varied import FeatureTree, shape_vectors, summarise, varied_subset, ward
+from gneiss.llm.varied import Centres, FeatureTree, shape_vectors, summarise, varied_subset, ward
 
 MANIFEST = "part_id string, family string, loaded_at timestamp, geometry_signature struct<volume: double, surface_area: double, principal_moments: array<double>>, group_no int, distance string"
 
@@ -119,3 +119,13 @@ def test_summaries_are_merged_in_rounds(spark):
     df = spark.createDataFrame([(str(i), [float(v) for v in rng.normal(size=3)]) for i in range(900)], "id string, x array<double>").repartition(20)
     n, ls = summarise(df, 40)
     assert n.sum() == 900 and len(n) <= 40 and ls.shape[1] == 3
+
+
+def test_cells_find_the_nearest_centre():
+    rng = np.random.default_rng(12)
+    centres = np.concatenate([rng.normal(size=(900, 11)), rng.normal(0, 0.01, (100, 11)), np.ones((2, 11))])
+    x = np.concatenate([rng.normal(size=(3000, 11)), centres[::7], np.ones((1, 11))])
+    found, square = Centres(centres).nearest(x)
+    full = ((x[:, None, :] - centres[None, :, :]) ** 2).sum(2)
+    assert np.allclose(square, full.min(1), atol=1e-9) and np.allclose(full[np.arange(len(x)), found], full.min(1), atol=1e-9)
+    assert found[-1] == 1000
