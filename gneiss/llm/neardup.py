@@ -198,11 +198,26 @@ def near_duplicates(rows: DataFrame, record: str = "part_id", params: str = "par
     return members.select("id", "cls"), similar_classes(classes, threshold)
 
 
-def duplicate_pairs(members: DataFrame, links: DataFrame) -> DataFrame:
-    """All pairs of records, smaller id first, of a class or of two linked classes: columns a, b."""
+def duplicate_pairs(members: DataFrame, links: DataFrame, block: int = 2000) -> DataFrame:
+    """All pairs of records, smaller id first, of a class or of two linked classes: columns a, b.
+
+    Linked classes of which one has more than `block` records are cut into blocks, and each pair of blocks is a join key of its own, so that two classes that
+    each hold a third of all rows spread over many tasks.
+    """
+    pair = (F.least("i1", "i2").alias("a"), F.greatest("i1", "i2").alias("b"))
     left, right = members.select(F.col("cls").alias("a"), F.col("id").alias("i1")), members.select(F.col("cls").alias("b"), F.col("id").alias("i2"))
-    across = links.join(left, "a").join(right, "b").select(F.least("i1", "i2").alias("a"), F.greatest("i1", "i2").alias("b"))
-    return across.unionByName(pairs_within(members, "cls", "id"))
+    big = written(members.groupBy("cls").count().where(F.col("count") > block), "large_classes")
+    if big.isEmpty():
+        return links.join(left, "a").join(right, "b").select(*pair).unionByName(pairs_within(members, "cls", "id", block))
+    blocks = lambda c: big.select(F.col("cls").alias(c), F.ceil(F.col("count") / block).cast("int").alias(f"n{c}"))
+    sized = links.join(blocks("a"), "a", "left").join(blocks("b"), "b", "left").fillna(1, ["na", "nb"])
+    across = sized.where("na = 1 and nb = 1").select("a", "b").join(left, "a").join(right, "b").select(*pair)
+    cut = sized.where("na > 1 or nb > 1")
+    own = lambda i, n: F.pmod(F.xxhash64(i), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    x = cut.join(left, "a").select("a", "b", "i1", own("i1", "na").alias("ba"), every("nb").alias("bb"))
+    y = cut.join(right, "b").select("a", "b", "i2", own("i2", "nb").alias("bb"), every("na").alias("ba"))
+    return across.unionByName(x.join(y, ["a", "b", "ba", "bb"]).select(*pair)).unionByName(pairs_within(members, "cls", "id", block))
 
 
 def duplicate_groups(members: DataFrame, links: DataFrame) -> DataFrame:

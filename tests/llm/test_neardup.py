@@ -125,3 +125,16 @@ def test_no_records_and_a_very_long_one(spark):
     big = set(range(3_000))
     rows = [("a", *source(big)), ("b", *source(big - {1, 2, 3})), ("c", *source({5}))]
     assert [tuple(r) for r in nd.duplicate_pairs(*nd.near_duplicates(spark.createDataFrame(rows, schema))).collect()] == [("a", "b")]
+
+
+def test_large_linked_classes_are_cut_into_blocks(spark):
+    rng = random.Random(21)
+    size = {b"a": 23, b"b": 17, b"c": 2, b"d": 1, b"e": 3}
+    members = [(f"{c.decode()}{i}", c) for c, n in size.items() for i in range(n)]
+    links = [(b"a", b"b"), (b"b", b"c"), (b"c", b"d"), (b"d", b"e")]
+    want = {tuple(sorted((x, y))) for x, cx in members for y, cy in members if x != y and (cx == cy or (cx, cy) in links)}
+    rng.shuffle(members)
+    m, k = spark.createDataFrame(members, "id string, cls binary"), spark.createDataFrame(links, "a binary, b binary")
+    for block in (5, 20, 2000):
+        got = [(r.a, r.b) for r in nd.duplicate_pairs(m.repartition(3), k, block).collect()]
+        assert set(got) == want and len(got) == len(want)
