@@ -6,6 +6,7 @@ other in a zstandard stream); any other goes into a newline-delimited container.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -48,10 +49,10 @@ def complete_zstd(data: bytes) -> bool:
 
 
 class _Container:
-    """One growing file; its name holds the task attempt, so attempts never write over each other."""
+    """One growing file; its name holds the run and the task attempt, so neither runs nor attempts write over each other."""
 
-    def __init__(self, fs, folder: str, kind: str, header: bytes | None):
-        self.fs, self.folder, self.kind, self.header, self.made, self.out = fs, folder, kind, header, 0, None
+    def __init__(self, fs, folder: str, kind: str, header: bytes | None, run: str = ""):
+        self.run, self.fs, self.folder, self.kind, self.header, self.made, self.out = run, fs, folder, kind, header, 0, None
 
     def add(self, data: bytes, target: int) -> tuple[str, int, int, bool, int]:
         """(file name, offset, bytes kept, header set aside, boundary bytes)."""
@@ -59,7 +60,7 @@ class _Container:
             self.close()
         if not self.out:
             context = TaskContext.get()
-            self.name = f"{context.partitionId():06d}-{context.taskAttemptId()}-{self.made}.{self.kind}"
+            self.name = f"{self.run}-{context.partitionId():06d}-{context.taskAttemptId()}-{self.made}.{self.kind}"
             self.out, self.at = self.fs.open_output_stream(f"{self.folder}/{self.name}"), 0
             self.made += 1
             if self.header and self.kind == "nd":
@@ -86,7 +87,7 @@ def _folder(uri: str):
     return fs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri.removeprefix('file:')}")
 
 
-def compact(files: DataFrame, folder: str | None = None, *, file_id: str = "file_id", payload: str = "payload", target_bytes: int = 64 << 20, header: bytes | None = None) -> DataFrame:
+def compact(files: DataFrame, folder: str | None = None, *, file_id: str = "file_id", payload: str = "payload", target_bytes: int = 64 << 20, header: bytes | None = None, run: str | None = None) -> DataFrame:
     """Writes each file of `files` once into containers of about `target_bytes` in `folder`, and returns the index of them.
 
     The index has a row per input row: file_id, container, kind (nd, zstd), offset, length, crc, header (the file
@@ -95,7 +96,7 @@ def compact(files: DataFrame, folder: str | None = None, *, file_id: str = "file
     boundary; a payload above target_bytes gets a container of its own; files with equal payloads or equal ids are each kept; further
     columns are ignored; an empty table gives an empty index and no container. Rows are read where they lie: partitions are
     merged without a shuffle to one task per target_bytes, and bytes are streamed, so neither memory nor traffic grows
-    with the number of files. The index is a written table: containers that an abandoned attempt left are removed.
+    with the number of files. The index is a written table: containers that an abandoned attempt of this `run` (a name of its own, if none is given) left are removed, and those of other runs stay.
     """
     spark = files.sparkSession
     folder = folder or fresh_path(spark, "containers")
@@ -103,10 +104,11 @@ def compact(files: DataFrame, folder: str | None = None, *, file_id: str = "file
     total = files.agg(F.sum(F.octet_length(F.col(payload)))).first()[0] or 0
     fs, path = _folder(folder)
     fs.create_dir(path, recursive=True)
+    run_id = run or uuid.uuid4().hex[:12]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, path = _folder(folder)
-        open_ones = {k: _Container(fs, path, k, header) for k in ("nd", "zstd")}
+        open_ones = {k: _Container(fs, path, k, header, run_id) for k in ("nd", "zstd")}
         try:
             for batch in batches:
                 out: list[tuple] = []
@@ -130,7 +132,7 @@ def compact(files: DataFrame, folder: str | None = None, *, file_id: str = "file
     from pyarrow.fs import FileSelector
 
     for x in fs.get_file_info(FileSelector(path)):
-        if x.is_file and x.base_name.rpartition(".")[2] in ("nd", "zstd") and x.base_name not in kept:
+        if x.is_file and x.base_name.startswith(f"{run_id}-") and x.base_name not in kept:
             fs.delete_file(x.path)
     return index.withColumn("folder", F.lit(folder))
 

@@ -82,10 +82,11 @@ def test_damage_is_found(spark, tmp_path):
 def test_empty_table_and_leftovers(spark, tmp_path):
     folder = tmp_path / "c"
     folder.mkdir()
-    (folder / "000000-77-0.nd").write_text("left by a lost attempt")
-    index = compact(spark.createDataFrame([], "file_id long, payload string"), str(folder))
+    (folder / "r1-000000-77-0.nd").write_text("left by a lost attempt")
+    (folder / "r2-000000-77-0.nd").write_text("of another run")
+    index = compact(spark.createDataFrame([], "file_id long, payload string"), str(folder), run="r1")
     assert index.count() == 0 and read_records(index).count() == 0 and validate(index).count() == 0
-    assert not list(folder.glob("*.nd"))
+    assert [p.name for p in folder.glob("*.nd")] == ["r2-000000-77-0.nd"]
 
 
 def test_crc_is_of_the_whole_payload(spark, tmp_path):
@@ -131,3 +132,34 @@ def test_long_integers_are_json():
     key = json_key(b'{"b": 1, "a": ' + digits + b"}")
     assert key is not None and key == json_key(b'{"a":' + digits + b',"b":1.0}')
     assert len({key, json_key(b'{"a":-' + digits + b',"b":1}'), json_key(b'{"a":"' + digits + b'","b":1}'), json_key(b'{"a":' + digits + b'7,"b":1}')}) == 4
+
+
+def test_deep_values_are_compared_by_value():
+    def nest(inner, n, pad=""):
+        return (f'{pad}{{"b":{pad}1,"a":[' * n + inner + "]}" * n).encode()
+
+    def turned(inner, n):
+        return ('{"a":[' * n + inner + '], "b": 1.0}' * n).encode()
+
+    for n in (90, 110, 3000, 50_000):
+        key = json_key(nest("2", n))
+        assert key is not None and key == json_key(nest("2e0", n, " \n")) == json_key(turned("2.0", n))
+        assert key != json_key(nest("3", n)) and json_key(nest("2", n) + b"]") is None and json_key(nest("2,", n)) is None and json_key(nest("", n)) not in (None, key)
+    assert json_key(b"[" * 5000) is None and json_key(b"[" * 500 + b"}" * 500) is None and json_key(b'{"a"' * 300 + b"}" * 300) is None
+
+
+def test_numbers_compare_by_value_however_long():
+    same = [["1e400", "10e399", "1" + "0" * 400], ["0.1", "0.10", "1e-1", "0.1000000000000000000000"], ["0.1234567890123456789", "1234567890123456789e-19"], ["-0.0", "0", "0e999999999999999999"], ["7" * 5000, "7" * 5000 + ".0"]]
+    keys = [{json_key(x.encode()) for x in group} for group in same]
+    assert all(len(k) == 1 and None not in k for k in keys[:4]) and len(set.union(*keys[:4])) == 4
+    assert len({json_key(x.encode()) for x in ("1e400", "1e500", "1e-400", "0", "0.12345678901234567", "0.12345678901234568")}) == 6
+    assert json_key(b"1e9999999999999999999") is not None
+
+
+def test_another_run_into_the_same_folder_spares_the_first(spark, tmp_path):
+    df = spark.createDataFrame([(1, b"a"), (2, b"b")], "file_id long, payload binary")
+    first = compact(df, str(tmp_path / "c"))
+    (tmp_path / "c-index").rename(tmp_path / "kept-index")
+    first = spark.read.parquet(str(tmp_path / "kept-index")).withColumn("folder", F.lit(str(tmp_path / "c")))
+    compact(df, str(tmp_path / "c"))
+    assert sorted(bytes(r.payload) for r in read_records(first).collect()) == [b"a", b"b"]
