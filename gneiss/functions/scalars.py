@@ -245,6 +245,18 @@ def snap_to(table: list[float], value: ColumnOrName, lo: ColumnOrName, hi: Colum
     return F.coalesce(near["size"], F.bround(v.cast("double"), 2))
 
 
+def pick_standard(table: list[float], u: ColumnOrName, lo: ColumnOrName, hi: ColumnOrName, places: int = 2) -> Column:
+    """A standard size between lo and hi, each as likely, chosen by a number u of [0, 1); if there is none a size of the range itself, rounded."""
+    fits = in_range(table, lo, hi)
+    at = F.least(F.floor(_c(u) * F.size(fits)).cast("int"), F.size(fits) - 1)
+    return F.when(F.size(fits) > 0, F.get(fits, at)).otherwise(F.bround(_c(lo) + _c(u) * (_c(hi) - _c(lo)), places))
+
+
+def stem_number(path: ColumnOrName) -> Column:
+    """The number that a file's name without suffix is; null if it is none. Ordered with nulls last, files 2, 10, x come in this order."""
+    return F.regexp_extract(_c(path), r"([^/]+?)(?:\.[^./]*)?$", 1).try_cast("bigint")
+
+
 def uniform(seed: int, *keys: ColumnOrName) -> Column:
     """A number of [0, 1) fixed by seed and keys, for draws that do not depend on partitions."""
     return F.pmod(F.xxhash64(F.lit(seed), *(_c(k) for k in keys)), F.lit(1 << 52)).cast("double") / float(1 << 52)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -51,3 +51,20 @@ def weighted_choice(df: DataFrame, weights: DataFrame, u: Column, name: str = "f
 
 def clamp_tier(tier: Column, lowest: Column, highest: Column) -> Column:
     return F.greatest(lowest, F.least(highest, tier))
+
+
+def stale_tags(remote: DataFrame, built: DataFrame) -> DataFrame:
+    """Distinct tags that are published but were not built, in order."""
+    return remote.select("tag").distinct().join(built.select("tag"), "tag", "left_anti").orderBy("tag")
+
+
+def forced(df: DataFrame, family: str | None = None, tier: int | None = None) -> DataFrame:
+    """df with its family and tier replaced by those given."""
+    out = df if family is None else df.withColumn("family", F.lit(family))
+    return out if tier is None else out.withColumn("tier", F.lit(tier).cast("int"))
+
+
+def picks(df: DataFrame, group: str, n: int, key: Column) -> DataFrame:
+    """n rows of each group: those with the smallest key, such as a hash of id and seed. Tasks keep n rows of a group before the shuffle, so a large group is small work."""
+    rank = F.row_number().over(Window.partitionBy(group).orderBy("_key"))
+    return df.withColumn("_key", key).withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_key", "_rank")

@@ -45,3 +45,8 @@ def attempts_with_results(attempts: DataFrame, results: DataFrame, key: str = "a
     """Every attempt with its result; one without is a failed run, error 'missing execution result'."""
     joined = attempts.join(results, key, "left")
     return joined.withColumn("error", F.when(F.col("success").isNull(), F.lit("missing execution result")).otherwise(F.col("error"))).withColumn("success", F.coalesce("success", F.lit(False)))
+
+
+def first_errors(marked: DataFrame, order: list[str], n: int = 25, reason: str = "reason") -> DataFrame:
+    """The first n rows in order that have a reason: each task keeps its own first n."""
+    return marked.where(F.col(reason) != "").orderBy(*order).limit(n)

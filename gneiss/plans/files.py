@@ -1,14 +1,15 @@
-"""Queries of sinks and sources (written, read back and compared) and of the scalar functions that belong to them, beside their SQL."""
+"""Queries of sinks and sources (written, read back and compared), of choices and small functions, beside their SQL."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gneiss.functions import scalars as fx
-from gneiss.operators import corpus
+from gneiss.functions.standards import STOCK_THICKNESSES
+from gneiss.operators import corpus, lookups, validity
 from gneiss.session import fresh_path
 from gneiss.sources.manifest import candidate_meshes, read_manifest
 from gneiss.sources.sinks import packed, write_jsonl, write_manifest, write_parquet, write_parts
@@ -120,3 +121,45 @@ def nice_values(spark, sf_dir):
     """Draws of 10 to 60 from given uniforms: every second one snaps to a multiple of five."""
     size = F.floor(F.col("p_size") / 5) * 5
     return table(spark, sf_dir, "part").select("p_partkey", fx.nice((size / 50.0), 10.0, 60.0, F.when(size % 2 == 0, 0.1).otherwise(0.9)).alias("v"))
+
+
+@query("select cand_id, batch_no, reason from (select cand_id, batch_no, 'execution failed: ' || coalesce(error, 'missing execution result') reason from exec_results where not coalesce(success, false)) order by batch_no, cand_id, reason limit 25")
+def first_errors(spark, sf_dir):
+    """The first 25 failed runs, by batch and candidate."""
+    rows = table(spark, sf_dir, "exec_results").where(~F.coalesce("success", F.lit(False)))
+    return validity.first_errors(validity.with_validity(rows), ["batch_no", "cand_id", "reason"]).select("cand_id", "batch_no", "reason")
+
+
+@query("select family, part_id from (select family, part_id, row_number() over (partition by family order by md5('7:' || part_id)) r from (select distinct family, part_id from manifest)) where r <= 3")
+def family_picks(spark, sf_dir):
+    """Three records of each family, by a seeded hash of the id."""
+    rows = table(spark, sf_dir, "manifest").select("family", "part_id").distinct()
+    return lookups.picks(rows, "family", 3, F.md5(F.concat(F.lit("7:"), "part_id")))
+
+
+@query("select tag from (values ('1k'), ('77k'), ('3k'), ('77k')) t(tag) where tag not in (select tag from ladder) group by 1")
+def stale_tags(spark, sf_dir):
+    return lookups.stale_tags(spark.createDataFrame([("1k",), ("77k",), ("3k",), ("77k",)], "tag string"), table(spark, sf_dir, "ladder"))
+
+
+@query("select attempt, 'gear' family, 3 tier from manifest")
+def forced_choice(spark, sf_dir):
+    return lookups.forced(table(spark, sf_dir, "manifest").select("attempt", "family", "tier"), "gear", 3)
+
+
+@query(f"""select p_partkey, case when len(f) > 0 then f[least(floor(u * len(f))::int, len(f) - 1) + 1] else round_even(lo + u * (hi - lo), 2) end size
+    from (select *, list_filter({STOCK_THICKNESSES}::double[], lambda x: x >= lo and x <= hi) f from (select p_partkey, (p_partkey % 8) / 8.0::double u, (p_size % 30)::double lo, (p_size % 30 + p_size % 4)::double hi from part))""")
+def standard_picks(spark, sf_dir):
+    """Standard sizes chosen among those in range; where there is none, a size of the range."""
+    lo = (F.col("p_size") % 30).cast("double")
+    rows = table(spark, sf_dir, "part").select("p_partkey", ((F.col("p_partkey") % 8) / 8.0).alias("u"), lo.alias("lo"), (lo + F.col("p_size") % 4).alias("hi"))
+    return rows.select("p_partkey", fx.pick_standard(STOCK_THICKNESSES, "u", "lo", "hi").alias("size"))
+
+
+@query("select path, row_number() over (order by stem nulls last, path) place from (select path, try_cast(regexp_extract(path, '([^/.]+)[.][a-z]+$', 1) as bigint) stem from (select distinct case when l_orderkey % 3 = 0 then 'm/x' || l_orderkey else 'm/' || l_orderkey end || '.stl' path from lineitem)) qualify place <= 200")
+def numeric_stems(spark, sf_dir):
+    """Files in the order of the numbers that they are named by, other names last: the first 200 of them."""
+    key = F.col("l_orderkey").cast("string")
+    paths = table(spark, sf_dir, "lineitem").select(F.concat(F.when(F.col("l_orderkey") % 3 == 0, "m/x").otherwise("m/"), key, F.lit(".stl")).alias("path")).distinct()
+    first = paths.orderBy(fx.stem_number("path").asc_nulls_last(), "path").limit(200)
+    return first.withColumn("place", F.row_number().over(Window.orderBy(fx.stem_number("path").asc_nulls_last(), "path")))
