@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Standard tables, in millimetres (ACME: threads per inch).
+# Standard tables, in millimetres. The ACME standard states threads per inch, from which a pitch is worked out in full (25.4 / 14, not 1.81429).
 GEAR_MODULES = [1.0, 1.25, 1.5, 2.0, 2.5, 3.0, 4.0, 5.0, 6.0, 8.0]
 STOCK_THICKNESSES = [2.0, 3.0, 4.0, 5.0, 6.0, 8.0, 10.0, 12.0, 16.0, 20.0]
 CLEARANCES = [3.2, 4.3, 5.3, 6.4, 8.4, 10.5, 13.0]

@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gneiss.functions import scalars as fx
-from gneiss.functions.standards import STOCK_THICKNESSES
+from gneiss.functions.expressions import source_text
+from gneiss.functions.standards import STOCK_THICKNESSES, acme_pitch, metric_pitches, trapezoidal_pitch
 from gneiss.operators import corpus, lookups, validity
+from gneiss.plans.part_texts import expression
 from gneiss.session import fresh_path
 from gneiss.sources.manifest import candidate_meshes, read_manifest
-from gneiss.sources.sinks import packed, write_jsonl, write_manifest, write_parquet, write_parts
+from gneiss.sources.sinks import PASSES, packed, write_jsonl, write_manifest, write_parquet, write_parts
+from gneiss.streaming.dedup import windowed_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -163,3 +166,50 @@ def numeric_stems(spark, sf_dir):
     paths = table(spark, sf_dir, "lineitem").select(F.concat(F.when(F.col("l_orderkey") % 3 == 0, "m/x").otherwise("m/"), key, F.lit(".stl")).alias("path")).distinct()
     first = paths.orderBy(fx.stem_number("path").asc_nulls_last(), "path").limit(200)
     return first.withColumn("place", F.row_number().over(Window.orderBy(fx.stem_number("path").asc_nulls_last(), "path")))
+
+
+@query("""select p_partkey, case d when 8 then [1.25, 1.0, 0.75] when 16 then [2.0, 1.5] when 24 then [3.0, 2.0] when 36 then [4.0, 3.0] end::double[] metric, case s when '1/2' then 25.4 / 10.0::double when '1' then 25.4 / 5.0::double when '3/4' then 25.4 / 6.0::double end acme,
+    case t when '8x1.5' then 1.5 when '40x7' then 7.0 end::double trapezoidal from (select p_partkey, ([8, 16, 24, 36, 37])[p_size % 5 + 1] d, (['1/2', '1', '3/4', '9'])[p_size % 4 + 1] s, (['8x1.5', '40x7', '9x9'])[p_size % 3 + 1] t from part)""")
+def pitch_lookups(spark, sf_dir):
+    """Pitches of threads by size; null for what is not standard."""
+    pick = lambda *xs: F.element_at(F.array(*map(F.lit, xs)), (F.col("p_size") % len(xs) + 1).cast("int"))
+    return table(spark, sf_dir, "part").select("p_partkey", metric_pitches(pick(8, 16, 24, 36, 37)).alias("metric"), acme_pitch(pick("1/2", "1", "3/4", "9")).alias("acme"), trapezoidal_pitch(pick("8x1.5", "40x7", "9x9")).alias("trapezoidal"))
+
+
+@query("""select p_partkey, 'p["a"]' param, 'p["a"] * ' || (p_size + 0.5) scaled, 'min(p["a"], p["b"])' lesser, 'min(p["a"], p["b"]) * 0.25' part_of_lesser, 'min(p["a"], ' || p_size || '.0)' clamped, 'p["a"] / 2' half, p_size || '.0' literal from part""")
+def expression_sources(spark, sf_dir):
+    """Source text of each kind of expression."""
+    size = F.col("p_size").cast("double")
+    made = {"param": {"type": "param"}, "scaled": {"type": "scaled", "factor": size + 0.5}, "lesser": {"type": "min2", "factor": 1.0}, "part_of_lesser": {"type": "min2", "factor": 0.25}, "clamped": {"type": "clamp", "limit": size}, "half": {"type": "half"}, "literal": {"type": "literal", "value": size}}
+    of = {"param": "a", "param_a": "a", "param_b": "b"}
+    return table(spark, sf_dir, "part").select("p_partkey", *(source_text(expression(**of, **fields)).alias(name) for name, fields in made.items()))
+
+
+@query("""select event_id, 0.12::double + (0.02::double - 0.12::double) * k n_lo, 0.45::double + (0.12::double - 0.45::double) * k n_hi, 0.040::double + (0.008::double - 0.040::double) * k d_lo, 0.120::double + (0.035::double - 0.120::double) * k d_hi,
+    1.7::double + (1.0::double - 1.7::double) * k width from (select event_id, greatest(0.0::double, least(1.0::double, (event_id % 7 - 1) / 4.0::double)) k from events)""")
+def edge_bounds(spark, sf_dir):
+    """The edge detector's five numbers, for crispness below, within and above its range."""
+    return table(spark, sf_dir, "events").select("event_id", fx.edge_params((F.col("event_id") % 7 - 1) / 4.0).alias("e")).select("event_id", "e.*")
+
+
+@query("""select part_id, grp, names, row_number() over (partition by part_id order by f) place from
+    (select l_orderkey part_id, l_returnflag grp, string_agg('p' || l_linenumber, ', ' order by l_linenumber) names, min(l_linenumber) f from (select l_orderkey, l_linenumber, min(l_returnflag) l_returnflag from lineitem group by 1, 2) group by 1, 2)""")
+def parameter_groups(spark, sf_dir):
+    """Names by display group, groups and names in order of first appearance."""
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("part_id"), F.col("l_returnflag").alias("grp"), F.col("l_linenumber").alias("pos"), F.concat(F.lit("p"), F.col("l_linenumber").cast("string")).alias("name"))
+    return corpus.grouped_params(rows.groupBy("part_id", "pos", "name").agg(F.min("grp").alias("grp")))
+
+
+@query("""select list_filter(['shaded', 'normal', 'depth', 'edge'], lambda x: x = 'shaded' or list_contains(h, x)) passes from
+    (select list(distinct case event_type when 'view' then 'normal' when 'purchase' then 'depth' when 'error' then 'edge' else event_type end) h from events where user_id = (select min(user_id) from events))""")
+def passes_present(spark, sf_dir):
+    """Render passes of which the first part has files."""
+    kind = F.col("event_type")
+    rows = table(spark, sf_dir, "events").select(F.col("user_id").alias("part_id"), F.when(kind == "view", "normal").when(kind == "purchase", "depth").when(kind == "error", "edge").otherwise(kind).alias("pass"))
+    return corpus.available_passes(rows, PASSES)
+
+
+@query("select time_bucket(interval 5 minute, ts) \"start\", event_type, count(*) n from events group by 1, 2")
+def event_windows(spark, sf_dir):
+    """Counts by type and five-minute window; the stream's plan over a table."""
+    return windowed_counts(table(spark, sf_dir, "events")).select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")
