@@ -213,3 +213,14 @@ def passes_present(spark, sf_dir):
 def event_windows(spark, sf_dir):
     """Counts by type and five-minute window; the stream's plan over a table."""
     return windowed_counts(table(spark, sf_dir, "events")).select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")
+
+
+@query(f"select m.part_id, m.paths['py'] py, s.build source from (select * from {_PACKED}) m left join (select rel_path, min(build) build from parts group by 1) s on s.rel_path = m.paths['py']")
+def packed_by_path(spark, sf_dir):
+    """Packed rows with the source that each record's own paths name, whatever the file's part_id says."""
+    rows = table(spark, sf_dir, "manifest")
+    first = rows.groupBy("attempt").agg(F.min_by(F.struct(*(c for c in rows.columns if c != "attempt")), F.struct("loaded_at", "part_id")).alias("r")).select("attempt", "r.*")
+    ranked = corpus.with_ordinal(first, "attempt")
+    texts = table(spark, sf_dir, "parts").groupBy(F.col("rel_path").alias("path")).agg(F.min("build").alias("text"))
+    out = packed(ranked, tier_max=2, sources=texts)
+    return out.join(ranked.select("ordinal", F.col("paths")["py"].alias("py")), "ordinal").select("part_id", "py", "source")

@@ -63,7 +63,8 @@ def _version(columns: list[str]) -> Column:
 
 
 def packed(manifest: DataFrame, *, limit: int | None = None, tier_max: int | None = None, sources: DataFrame | None = None, params: DataFrame | None = None, as_text: bool = False, license_known: Column | None = None) -> DataFrame:
-    """Rows of a packed variant: the prefix first, then rows with an id, then the tier cap; sources and params (name, text) are joined by id.
+    """Rows of a packed variant: the prefix first, then rows with an id, then the tier cap; sources and params are joined by the record's own `paths` (py and params) if they have a column
+    path (path, text; one row a path), else by id (name, text).
 
     manifest needs `ordinal`. as_text gives signature, dimensions and params as text (the Parquet form) instead of structs.
     A licence that is absent defaults; license_known tells rows where a null one is present and stays null.
@@ -74,11 +75,18 @@ def packed(manifest: DataFrame, *, limit: int | None = None, tier_max: int | Non
     out = rows.select(
         "ordinal", "part_id", "family", F.col("tier").cast("int"), F.col("seed").cast("bigint"), "symmetry", F.col("op_count").cast("int"), "ir_hash", _version(manifest.columns).alias("generator_version"),
         licence.alias("license"), (F.col(sig) if isinstance(sig, str) else sig).alias("geometry_signature"), (F.col(dims) if isinstance(dims, str) else dims).alias("dimensions"),
+        *([F.col("paths").alias("_paths")] if "paths" in rows.columns else []),
     )
-    for name, side in (("source", sources), ("params", params)):
-        if side is not None:
+    at = {"source": "py", "params": "params"}
+    sides = {name: side for name, side in (("source", sources), ("params", params)) if side is not None}
+    for name in [n for n, side in sides.items() if "path" in side.columns]:
+        out = out.withColumn(f"_{name}", F.col("_paths")[at[name]])
+    for name, side in sides.items():
+        if "path" in side.columns:
+            out = out.join(side.select(F.col("path").alias(f"_{name}"), F.col("text").alias(name)), f"_{name}", "left").drop(f"_{name}")
+        else:
             out = out.join(side.select(F.col("name").alias("part_id"), F.col("text").alias(name)), "part_id", "left")
-    return out
+    return out.drop("_paths")
 
 
 def with_artifacts(rows: DataFrame, *sides: tuple[str, DataFrame]) -> DataFrame:
