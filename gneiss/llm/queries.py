@@ -60,10 +60,10 @@ def p2_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Candidates that repeat a signature of the manifest or an earlier candidate, admitted to the store four batches at a time."""
+    """Candidates that repeat a signature of the manifest or an earlier candidate, admitted to the store six batches at a time."""
     store = ShapeStore(spark, fresh_path(spark, "shape_store"), buckets=16)
     store.append(usable_signatures(_table(spark, sf_dir, "manifest")))
-    return repeats_by_batch(store, _table(spark, sf_dir, "exec_results"), together=4)
+    return repeats_by_batch(store, _table(spark, sf_dir, "exec_results"), together=6)
 
 
 def p4_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
