@@ -219,13 +219,13 @@ def _operations(params: str = "params") -> Column:
     return F.transform(staged, _written)
 
 
-def described(parts: DataFrame) -> DataFrame:
-    """(part_id, lines, text) of parts (part_id, params map, operations array of OP_TYPE); parts without a phrase have no lines and the text ''.
+def described(parts: DataFrame, *more: Column) -> DataFrame:
+    """(part_id, lines, more, text) of parts (part_id, params map, operations array of OP_TYPE); parts without a phrase have no lines and the text ''.
 
-    An operation of an unknown kind, or one that lacks a size, has no phrase.
+    An operation of an unknown kind, or one that lacks a size, has no phrase. `more` are other columns of the same rows, which thus need no join.
     """
     spoken = F.filter(F.transform(_operations(), _phrase), lambda s: s.isNotNull() & (s != ""))
-    return parts.select("part_id", F.coalesce(spoken, F.array().cast("array<string>")).alias("lines")).withColumn("text", F.array_join("lines", " "))
+    return parts.select("part_id", F.coalesce(spoken, F.array().cast("array<string>")).alias("lines"), *more).withColumn("text", F.array_join("lines", " "))
 
 
 def _descriptor(op: Column) -> Column:

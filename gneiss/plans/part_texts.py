@@ -76,8 +76,7 @@ def register(name: str, made: list[tuple[str, Column | Callable[[], Column], str
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ops = F.explode(F.map_from_arrays(F.array(*(F.lit(n) for n, *_ in made)), F.array(*(op() for _, op, *_ in made)))).alias("kind", "op")
         rows = parts(spark, sf_dir).select("part_id", "params", ops).select(F.struct("part_id", "kind").alias("part_id"), "params", F.array("op").alias("operations"))
-        both = described(rows).select("part_id", "text").join(rows.select("part_id", statement(F.col("operations")[0]).alias("code")), "part_id")
-        return both.select("part_id.part_id", "part_id.kind", "text", "code")
+        return described(rows, statement(F.col("operations")[0]).alias("code")).select("part_id.part_id", "part_id.kind", "text", "code")
 
     QUERIES[name] = run
     each = []

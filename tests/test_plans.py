@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gneiss.operators import corpus, dedup
+from gneiss.plans import part_texts
 from gneiss.plans.reference import QUERIES
 
 
@@ -43,3 +44,14 @@ def test_first_wins_combines_before_the_shuffle(spark):
 def test_no_query_pairs_all_rows(spark, sf, name):
     text = plan(QUERIES[name](spark, sf))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+@pytest.mark.parametrize("name", ["op_bodies"])
+def test_phrases_and_statements_are_made_in_one_pass(spark, tmp_path, name):
+    keys = [(1, 5), (1, 6), (None, 7), (2, 8)]
+    spark.createDataFrame(keys, "p_partkey long, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    df = part_texts.QUERIES[name](spark, str(tmp_path))
+    assert "Join" not in plan(df)  # its size is taken for that of the rows before they are told apart by kind, and so broadcast
+    got = df.groupBy("part_id").count().collect()
+    kinds = sum(r["count"] for r in got if r.part_id == 2)
+    assert kinds > 1 and {r.part_id: r["count"] for r in got} == {1: 2 * kinds, None: kinds, 2: kinds}
