@@ -46,7 +46,7 @@ def test_no_query_pairs_all_rows(spark, sf, name):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
-@pytest.mark.parametrize("name", ["op_bodies", "op_features"])
+@pytest.mark.parametrize("name", ["op_bodies", "op_features", "op_holes"])
 def test_phrases_and_statements_are_made_in_one_pass(spark, tmp_path, name):
     keys = [(1, 5), (1, 6), (None, 7), (2, 8)]
     spark.createDataFrame(keys, "p_partkey long, p_size int").write.parquet(f"{tmp_path}/part.parquet")
