@@ -44,10 +44,13 @@ def operation(kind: str, fields: dict[str, str] | None = None, attrs: dict[str,
     ).cast(OP_TYPE)
 
 
-def parts(spark: SparkSession, sf_dir: str, *operations: Column) -> DataFrame:
-    """(part_id, params, operations) of every row of part."""
+def parts(spark: SparkSession, sf_dir: str, *operations: Column, spread: bool = False) -> DataFrame:
+    """(part_id, params, operations) of every row of part; spread: over all cores, however few row groups its files have."""
     params = F.create_map(*(x for name, sql in PARAMS.items() for x in (F.lit(name), F.expr(sql).cast("double"))))
-    return spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_partkey").alias("part_id"), params.alias("params"), F.array(*operations).cast(f"array<{OP_TYPE}>").alias("operations"))
+    rows = spark.read.parquet(f"{sf_dir}/part.parquet")
+    if spread:
+        rows = rows.select("p_partkey", "p_size").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return rows.select(F.col("p_partkey").alias("part_id"), params.alias("params"), F.array(*operations).cast(f"array<{OP_TYPE}>").alias("operations"))
 
 
 _P = "(select p_partkey part_id, " + ", ".join(f"({sql})::bigint {name}" for name, sql in PARAMS.items()) + " from part) p"
@@ -75,7 +78,7 @@ def register(name: str, made: list[tuple[str, Column | Callable[[], Column], str
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ops = F.explode(F.map_from_arrays(F.array(*(F.lit(n) for n, *_ in made)), F.array(*(op() for _, op, *_ in made)))).alias("kind", "op")
-        rows = parts(spark, sf_dir).select("part_id", "params", ops).select(F.struct("part_id", "kind").alias("part_id"), "params", F.array("op").alias("operations"))
+        rows = parts(spark, sf_dir, spread=True).select("part_id", "params", ops).select(F.struct("part_id", "kind").alias("part_id"), "params", F.array("op").alias("operations"))
         return described(rows, statement(F.col("operations")[0]).alias("code")).select("part_id.part_id", "part_id.kind", "text", "code")
 
     QUERIES[name] = run

@@ -55,3 +55,11 @@ def test_phrases_and_statements_are_made_in_one_pass(spark, tmp_path, name):
     got = df.groupBy("part_id").count().collect()
     kinds = sum(r["count"] for r in got if r.part_id == 2)
     assert kinds > 1 and {r.part_id: r["count"] for r in got} == {1: 2 * kinds, None: kinds, 2: kinds}
+
+
+@pytest.mark.parametrize("name", ["op_features", "op_holes"])
+def test_texts_of_one_row_group_are_made_in_many_tasks(spark, tmp_path, name):
+    spark.range(64).selectExpr("id p_partkey", "cast(id % 50 + 1 as int) p_size").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    df = part_texts.QUERIES[name](spark, str(tmp_path))
+    per_task = df.groupBy(F.spark_partition_id()).agg(F.countDistinct("part_id").alias("n")).collect()
+    assert len(per_task) > 1 and max(r.n for r in per_task) < 64 and df.select("part_id").distinct().count() == 64
